@@ -68,6 +68,6 @@ def term_counts(terms: Column) -> Column:
         )
 
     return _bound(
-        F.array_sort(terms),
+        F.sort_array(terms),
         lambda ordered: _bound(run_starts(ordered), lambda starts: runs(ordered, starts)),
     )

@@ -43,6 +43,7 @@ from commentlens.session import written
 PARALLELISM = 8
 GRID_MAX_FEATURES = 1 << 20  # the grid sets no vocabulary limit of its own; this bounds the model
 MAX_ITER = 1000
+TOLERANCE = 1e-4
 
 
 def _each(tasks: list[Callable]) -> list:
@@ -79,6 +80,7 @@ def train_logreg(rows: DataFrame, sizes: dict[str, int], C: float = 1.0) -> list
         weightCol="class_weight",
         family="multinomial",
         maxIter=MAX_ITER,
+        tol=TOLERANCE,
         regParam=1.0 / (C * sum(sizes.values())),
         standardization=False,
         aggregationDepth=2,
@@ -96,7 +98,8 @@ def train_multinomial_nb(rows: DataFrame, sizes: dict[str, int], alpha: float =
     ).fit(rows)
     total = sum(sizes.values())
     shift = [
-        math.log(n / total) - prior for n, prior in zip(sizes.values(), fitted.pi.toArray())
+        math.log(n / total) - float(prior)
+        for n, prior in zip(sizes.values(), fitted.pi.toArray())
     ]
     raw = f"zip_with(rawPrediction, array({', '.join(f'{s!r}D' for s in shift)}), (r, s) -> r + s)"
     return [fitted, SentimentDecision(list(sizes), ["rawPrediction"], _softmax(raw))]
@@ -136,7 +139,8 @@ def train_linear_svm(
             weightCol="svm_weight",
             rawPredictionCol=raw,
             predictionCol=f"{raw}_p",
-            maxIter=100,
+            maxIter=MAX_ITER,
+            tol=TOLERANCE,
             regParam=1.0 / (C * total * (folds - 1) / folds),
             standardization=False,
         ).fit(part)
@@ -192,7 +196,7 @@ def fit_candidate(
     if name == "tfidf_linear_svm":
         rows = stratified_folds(rows, key, k=params.get("folds", 3))
     kept = [c for c in (key, "label", "y", "class_weight", "fold", "features") if c != "fold" or "fold" in rows.columns]
-    rows = written(features.transform(rows).select(*kept), "features")
+    rows = written(features.transform(rows).select(*kept), "features", even=True)
     return PipelineModel(features.stages + TRAINERS[name](rows, sizes, **params))
 
 
@@ -224,7 +228,7 @@ def grid_search(
     spark = train.sparkSession
     train = drop_unusable(train).select(key, "comment", "label")
     k = fold_count(class_sizes(train))
-    train = written(stratified_folds(train, key, k), "grid-rows")
+    train = written(stratified_folds(train, key, k), "grid-rows", even=True)
     cells = {(r["label"], r["fold"]): r["count"] for r in train.groupBy("label", "fold").count().collect()}
     classes = [x for x in rules.LABELS if any(x == c for c, _ in cells)]
     fold_sizes = [
@@ -345,7 +349,7 @@ def select_refit_test(
     df = drop_unusable(df)
     min_rows_guard(df)
     df, info = stratified_split(df, key)
-    df = written(df.select(key, "comment", "label", "split"), "splits")
+    df = written(df.select(key, "comment", "label", "split"), "splits", even=True)
     train = union_splits(df, "train")
     validation = union_splits(df, "val") if info["val_size"] else None
     params = {}

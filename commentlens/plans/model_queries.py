@@ -99,7 +99,9 @@ def train_multinomial_nb(spark, sf):
 
 @query("grid_search")
 def grid_search(spark, sf):
-    _, results = models.grid_search(sampling.union_splits(_split(spark, sf), "train"), "doc_id")
+    """A part of the default grid: the number of fits, not the data, is what this query spares."""
+    grid = {"ngram_max": [1, 2], "min_df": [2], "max_df": [0.95], "C": [0.5, 5.0]}
+    _, results = models.grid_search(sampling.union_splits(_split(spark, sf), "train"), "doc_id", grid)
     return results
 
 

@@ -51,9 +51,13 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, and readable after executor loss."""
+def written(df: DataFrame, purpose: str, even: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, and readable after executor loss.
+
+    ``even`` lets AQE merge small and split large partitions first, for data that is read again
+    and again, as in training.
+    """
     spark = df.sparkSession
     path = work_folder(spark, purpose)
-    df.write.parquet(path)
+    (df.hint("rebalance") if even else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
