@@ -12,16 +12,55 @@ from commentlens.functions.labels import label_rank
 from commentlens.operators import features, labeling, metrics, models, sampling, scoring
 from commentlens.plans import bindings as b
 from commentlens.plans.registry import query
-from commentlens.plans.text_queries import TERMS_SQL
+from commentlens.plans.table_queries import METRICS_FROM_P, SPLIT_SQL
+from commentlens.plans.text_queries import terms_sql
 from commentlens.session import work_folder
 
-VOCAB_SQL = f"""
-  src AS (SELECT doc_id, label, comment FROM ({b.LABELLED}) l), {TERMS_SQL},
+# Vocabulary and unit-length TF-IDF weights of the rows of ``src`` (doc_id, label, comment).
+WEIGHTS_SQL = f"""{terms_sql('src')},
   n AS (SELECT count(*)::DOUBLE AS n FROM src),
   vocab AS (SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf, ln((1 + any_value(n)) / (1 + count(*))) + 1 AS idf
     FROM tf, n GROUP BY term HAVING count(*) >= 2 AND count(*) <= 0.95 * any_value(n) ORDER BY cf DESC, term LIMIT 20000),
   w AS (SELECT doc_id, label, term, (1 + ln(tf)) * idf AS w FROM tf JOIN vocab USING (term)),
   unit AS (SELECT doc_id, label, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w)"""
+VOCAB_SQL = f"src AS ({b.LABELLED}), {WEIGHTS_SQL}"
+NB_LEARNED_SQL = """
+  v AS (SELECT count(*) AS v FROM vocab),
+  grid AS (SELECT label, term FROM (SELECT DISTINCT label FROM src), vocab),
+  sums AS (SELECT g.label, g.term, coalesce(sum(u.weight), 0) AS w FROM grid g
+    LEFT JOIN unit u ON u.label = g.label AND u.term = g.term GROUP BY ALL),
+  learned AS (SELECT label, term, ln((w + 1) / (sum(w) OVER (PARTITION BY label) + v)) AS log_prob FROM sums, v)"""
+# Naive Bayes learned from ``src`` and applied to ``asked`` (doc_id, label, comment).
+NB_SQL = f"""{WEIGHTS_SQL}, {NB_LEARNED_SQL}, {terms_sql('asked', 'q')},
+  prior AS (SELECT label, ln(count(*)::DOUBLE / sum(count(*)) OVER ()) AS prior FROM src GROUP BY label),
+  qw AS (SELECT doc_id, term, (1 + ln(tf)) * idf AS w FROM qtf JOIN vocab USING (term)),
+  qunit AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM qw),
+  dots AS (SELECT q.doc_id, l.label, sum(q.weight * l.log_prob) AS s FROM qunit q JOIN learned l ON l.term = q.term GROUP BY ALL),
+  scores AS (SELECT a.doc_id, p.label, p.prior + coalesce(x.s, 0) AS s, x.s IS NOT NULL AS known
+    FROM asked a CROSS JOIN prior p LEFT JOIN dots x ON x.doc_id = a.doc_id AND x.label = p.label),
+  shares AS (SELECT *, exp(s - max(s) OVER (PARTITION BY doc_id)) AS e FROM scores),
+  answers AS (SELECT doc_id, arg_max(label, s) AS predicted, round(max(e) / sum(e), 4) AS confidence,
+    bool_or(known) AS known FROM shares GROUP BY doc_id)"""
+
+
+def nb_test_sql(train: str) -> str:
+    """Scores on the test part of naive Bayes trained on the given parts."""
+    split = SPLIT_SQL.replace("  src AS", "  all_rows AS").replace("FROM src", "FROM all_rows").replace("src.*", "all_rows.*")
+    return f"""WITH {split}, src AS (SELECT doc_id, label, comment FROM split WHERE split IN ({train})),
+      asked AS (SELECT doc_id, label, comment FROM split WHERE split = 'test'), {NB_SQL},
+      p AS (SELECT a.doc_id, a.label, x.predicted FROM asked a JOIN answers x ON x.doc_id = a.doc_id), {METRICS_FROM_P}
+      SELECT %s round((SELECT count(*) FILTER (label = predicted)::DOUBLE / count(*) FROM p), 4) AS accuracy,
+        round(avg(precision), 4) AS precision_macro, round(avg(recall), 4) AS recall_macro, round(avg(f1), 4) AS f1_macro,
+        round(sum(precision * support) / sum(support), 4) AS precision_weighted,
+        round(sum(recall * support) / sum(support), 4) AS recall_weighted,
+        round(sum(f1 * support) / sum(support), 4) AS f1_weighted FROM m"""
+
+
+def nb_predict_sql(rows: str, select: str) -> str:
+    """Answers of naive Bayes trained on all labelled rows; ``rows`` is (doc_id, comment)."""
+    return f"""WITH src AS ({b.LABELLED}), rows_in AS ({rows}),
+      asked AS (SELECT doc_id, '' AS label, {b.sql_norm('comment')} AS comment FROM rows_in WHERE NOT {b.sql_empty('comment')}),
+      {NB_SQL} SELECT {select} FROM rows_in r LEFT JOIN answers a ON a.doc_id = r.doc_id"""
 
 
 @query(
@@ -55,11 +94,7 @@ def idf_join(spark, sf):
 
 @query(
     "nb_log_probabilities",
-    f"""WITH {VOCAB_SQL}, v AS (SELECT count(*) AS v FROM vocab),
-        grid AS (SELECT label, term FROM (SELECT DISTINCT label FROM src), vocab),
-        s AS (SELECT g.label, g.term, coalesce(sum(u.weight), 0) AS w FROM grid g
-              LEFT JOIN unit u ON u.label = g.label AND u.term = g.term GROUP BY ALL)
-        SELECT label, term, round(ln((w + 1) / (sum(w) OVER (PARTITION BY label) + v)), 6) AS log_prob FROM s, v""",
+    f"WITH {VOCAB_SQL}, {NB_LEARNED_SQL} SELECT label, term, round(log_prob, 6) AS log_prob FROM learned",
 )
 def nb_log_probabilities(spark, sf):
     rows = b.labelled(spark, sf)
@@ -92,7 +127,7 @@ def train_linear_svm(spark, sf):
     return _held_out_scores(spark, sf, "tfidf_linear_svm")
 
 
-@query("train_multinomial_nb")
+@query("train_multinomial_nb", nb_test_sql("'train', 'val'") % "'tfidf_multinomial_nb' AS model,")
 def train_multinomial_nb(spark, sf):
     return _held_out_scores(spark, sf, "tfidf_multinomial_nb")
 
@@ -138,13 +173,25 @@ def _nb(spark, sf):
     return models.fit_candidate(b.labelled(spark, sf), "doc_id", "tfidf_multinomial_nb")
 
 
-@query("predict_batch")
+@query(
+    "predict_batch",
+    nb_predict_sql(
+        f"SELECT doc_id, comment FROM ({b.MESSY}) m",
+        "r.doc_id, r.comment, a.predicted AS predicted_sentiment, a.confidence, coalesce(a.known, false) AS known_vocabulary",
+    ),
+)
 def predict_batch(spark, sf):
     rows = b.messy(spark, sf).select("doc_id", "comment")
     return scoring.predict_batch(rows, _nb(spark, sf), with_known=True)
 
 
-@query("predict_one")
+@query(
+    "predict_one",
+    nb_predict_sql(
+        "SELECT doc_id, text AS comment FROM documents ORDER BY md5('42:' || doc_id), doc_id LIMIT 1",
+        "r.comment, a.predicted AS sentiment, a.confidence, a.known AS known_vocabulary, CAST(NULL AS VARCHAR) AS error",
+    ),
+)
 def predict_one(spark, sf):
     row = sampling.random_comment(b.table(spark, sf, "documents").select("doc_id", "text"), "doc_id").first()
     answer = scoring.predict_one(spark, row["text"], _nb(spark, sf))
@@ -154,7 +201,12 @@ def predict_one(spark, sf):
     )
 
 
-@query("save_load_model")
+@query(
+    "save_load_model",
+    nb_predict_sql(
+        "SELECT doc_id, text AS comment FROM documents", "r.doc_id, a.predicted AS predicted_sentiment, a.confidence"
+    ),
+)
 def save_load_model(spark, sf):
     path = work_folder(spark, "model")
     models.save_model(_nb(spark, sf), path)
@@ -162,7 +214,7 @@ def save_load_model(spark, sf):
     return scoring.predict_batch(rows, models.load_model(path)).drop("comment")
 
 
-@query("evaluate_saved")
+@query("evaluate_saved", nb_test_sql("'train'") % "")
 def evaluate_saved(spark, sf):
     split = _split(spark, sf)
     path = work_folder(spark, "model")

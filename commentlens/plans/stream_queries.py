@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from commentlens.operators import models
 from commentlens.plans import bindings as b
-from commentlens.plans.model_queries import ANSWER_SQL, keyword_labeler
+from commentlens.plans.model_queries import ANSWER_SQL, keyword_labeler, nb_predict_sql
 from commentlens.plans.registry import query
 from commentlens.session import work_folder
 from commentlens.streaming import jobs
@@ -38,7 +38,12 @@ def stream_ingest_dedup(spark, sf):
     return spark.read.parquet(out).select("event_id", "event_type", "value")
 
 
-@query("stream_score")
+@query(
+    "stream_score",
+    nb_predict_sql(
+        f"SELECT doc_id, comment FROM ({b.MESSY}) m", "r.doc_id, a.predicted AS predicted_sentiment, a.confidence"
+    ),
+)
 def stream_score(spark, sf):
     model = models.fit_candidate(b.labelled(spark, sf), "doc_id", "tfidf_multinomial_nb")
     rows = b.messy(spark, sf).select("doc_id", "comment")

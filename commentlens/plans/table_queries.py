@@ -594,8 +594,7 @@ def confusion_matrix(spark, sf):
     return metrics.confusion_matrix(b.predicted(spark, sf))
 
 
-METRICS_SQL = f"""
-  p AS ({b.PREDICTED}),
+METRICS_FROM_P = """
   c AS (SELECT x AS label, (SELECT count(*) FROM p WHERE label = x AND predicted = x)::DOUBLE AS hit,
       (SELECT count(*) FROM p WHERE label = x)::DOUBLE AS support,
       (SELECT count(*) FROM p WHERE predicted = x)::DOUBLE AS named
@@ -603,6 +602,7 @@ METRICS_SQL = f"""
   m AS (SELECT label, support, CASE WHEN named > 0 THEN hit / named ELSE 0 END AS precision,
       CASE WHEN support > 0 THEN hit / support ELSE 0 END AS recall,
       CASE WHEN named + support > 0 THEN 2 * hit / (named + support) ELSE 0 END AS f1 FROM c)"""
+METRICS_SQL = f"p AS ({b.PREDICTED}), {METRICS_FROM_P}"
 
 
 @query(

@@ -223,15 +223,19 @@ def keyword_words(spark, sf):
     return b.table(spark, sf, "documents").select("doc_id", words.alias("word"))
 
 
-# Terms with their frequency: unigrams, and pairs of neighbouring unigrams.
-TERMS_SQL = r"""
-  toks AS (SELECT doc_id, label, regexp_extract_all(lower(comment), '[\p{L}\p{N}_]{2,}') AS w FROM src),
-  grams AS (
-    SELECT doc_id, label, unnest(w) AS term FROM toks
+def terms_sql(source: str, prefix: str = "") -> str:
+    """Terms of a table's comments with their frequency: unigrams and neighbouring pairs."""
+    return rf"""
+  {prefix}toks AS (SELECT doc_id, label, regexp_extract_all(lower(comment), '[\p{{L}}\p{{N}}_]{{2,}}') AS w FROM {source}),
+  {prefix}grams AS (
+    SELECT doc_id, label, unnest(w) AS term FROM {prefix}toks
     UNION ALL
     SELECT doc_id, label, w[i] || ' ' || w[i + 1] FROM (
-      SELECT doc_id, label, w, unnest(generate_series(1, len(w) - 1)) AS i FROM toks WHERE len(w) > 1)),
-  tf AS (SELECT doc_id, label, term, count(*) AS tf FROM grams GROUP BY ALL)"""
+      SELECT doc_id, label, w, unnest(generate_series(1, len(w) - 1)) AS i FROM {prefix}toks WHERE len(w) > 1)),
+  {prefix}tf AS (SELECT doc_id, label, term, count(*) AS tf FROM {prefix}grams GROUP BY ALL)"""
+
+
+TERMS_SQL = terms_sql("src")
 
 
 @query(
