@@ -46,10 +46,10 @@ MAX_ITER = 1000
 TOLERANCE = 1e-4
 
 
-def _each(tasks: list[Callable]) -> list:
+def _each(spark: SparkSession, tasks: list[Callable]) -> list:
     """Run independent fits side by side; Spark shares the executors among them."""
     with ThreadPool(min(PARALLELISM, len(tasks))) as pool:
-        return pool.map(lambda task: inheritable_thread_target(task)(), tasks)
+        return pool.map(lambda task: inheritable_thread_target(spark)(task)(), tasks)
 
 
 def _indexed(df: DataFrame, classes: list[str], weights: dict[str, float]) -> DataFrame:
@@ -157,7 +157,7 @@ def train_linear_svm(
         return svm, float(sigmoid.coefficients[0]), float(sigmoid.intercept)
 
     pairs = list(itertools.product(range(folds), range(len(classes))))
-    fitted = dict(zip(pairs, _each([lambda f=f, i=i: fit(f, i) for f, i in pairs])))
+    fitted = dict(zip(pairs, _each(rows.sparkSession, [lambda f=f, i=i: fit(f, i) for f, i in pairs])))
     per_fold = []
     for fold in range(folds):
         sides = [
@@ -265,7 +265,7 @@ def grid_search(
         return found
 
     shapes = itertools.product(grid["ngram_max"], grid["min_df"], grid["max_df"], range(k))
-    runs = _each([lambda s=s: score_fold(s[3], s[0], s[1], s[2]) for s in shapes])
+    runs = _each(spark, [lambda s=s: score_fold(s[3], s[0], s[1], s[2]) for s in shapes])
     scores = spark.createDataFrame(
         [r for run in runs for r in run],
         "C double, max_df double, min_df int, ngram_max int, fold int, f1_macro double",
