@@ -1,8 +1,8 @@
 """Text rules as column expressions.
 
 All of them run inside the JVM. Two steps have no Spark function (resolving every HTML entity,
-NFKC); they are Arrow UDFs that receive NULL for each row a plain expression can already decide,
-so in practice only few texts leave the JVM.
+NFKC); they are Arrow UDFs that receive NULL for each row a plain expression can already decide:
+ASCII text is NFKC as it stands, and the usual entities are replaced in the JVM.
 """
 
 from __future__ import annotations
@@ -17,14 +17,6 @@ from pyspark.sql import types as T
 
 from commentlens import rules
 
-# Ranges whose characters NFKC leaves alone in any order: no combining marks, no compatibility
-# forms. Latin-1 and Latin Extended-A without their exceptions, dashes and quotation marks.
-NFKC_STABLE = (
-    "\\x{0}-\\x{9f}\\x{a1}-\\x{a7}\\x{a9}\\x{ab}-\\x{ae}\\x{b0}\\x{b1}\\x{b6}\\x{b7}\\x{bb}"
-    "\\x{bf}-\\x{131}\\x{134}-\\x{13e}\\x{141}-\\x{148}\\x{14a}-\\x{17e}"
-    "\\x{2012}-\\x{2016}\\x{2018}-\\x{2023}\\x{20ac}\\x{feff}\\x{200b}"
-)
-
 # Entities resolved by plain replacement; a text with any other "&" goes through html.unescape.
 # "amp" is last, so that "&amp;lt;" becomes "&lt;" and no more.
 COMMON_ENTITIES = {
@@ -86,8 +78,8 @@ def unescape(c: Column | str) -> Column:
 
 def nfkc(c: Column | str) -> Column:
     c = col(c)
-    unstable = c.rlike(f"[^{NFKC_STABLE}]")
-    return F.when(unstable, _nfkc_any(F.when(unstable, c))).otherwise(c)
+    beyond_ascii = F.octet_length(c) != F.length(c)
+    return F.when(beyond_ascii, _nfkc_any(F.when(beyond_ascii, c))).otherwise(c)
 
 
 def clean_html_text(c: Column | str) -> Column:

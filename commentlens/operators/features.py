@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from commentlens import rules
 from commentlens.functions.tokens import term_counts, tokenize_tfidf
+from commentlens.session import written
 
 
 def term_table(df: DataFrame, ngram_max: int = rules.NGRAM_MAX, keep: list[str] = ()) -> DataFrame:
@@ -22,20 +23,37 @@ def term_table(df: DataFrame, ngram_max: int = rules.NGRAM_MAX, keep: list[str]
     return counted.select(*keep, "t.term", "t.tf")
 
 
+def top_terms(counts: DataFrame, frequency: str, n: int) -> DataFrame:
+    """The ``n`` most frequent terms of a written table of counts; equal ones in term order.
+
+    A histogram over the magnitude of the frequencies shows below which value no term can be among
+    them, so that not every task has to send ``n`` candidates.
+    """
+    step = F.floor(F.log2(frequency) * 8).alias("step")
+    steps = counts.groupBy(step).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect()
+    found, least = 0, 0.0
+    for r in steps:  # eight steps per doubling: some hundreds of rows at most
+        found, least = found + r["n"], 2.0 ** (r["step"] / 8 - 0.01)
+        if found >= n:
+            break
+    return counts.filter(F.col(frequency) >= least).orderBy(F.desc(frequency), "term").limit(n)
+
+
 def tfidf_vocab(
     df: DataFrame,
     ngram_max: int = rules.NGRAM_MAX,
     min_df: int = rules.MIN_DF,
     max_df: float = rules.MAX_DF,
     max_features: int = rules.MAX_FEATURES,
+    n_docs: int | None = None,
 ) -> DataFrame:
     """``(term, df, cf, n_docs, idf)`` of the terms kept: the most frequent ones within the bounds."""
-    n_docs = df.count()
+    n_docs = df.count() if n_docs is None else n_docs
     counts = term_table(df, ngram_max).groupBy("term").agg(
         F.count("*").alias("df"), F.sum("tf").alias("cf")
     )
     kept = counts.filter((F.col("df") >= min_df) & (F.col("df") <= max_df * n_docs))
-    top = kept.orderBy(F.desc("cf"), "term").limit(max_features)
+    top = top_terms(written(kept, "terms"), "cf", max_features)
     return top.select("term", "df", "cf", F.lit(n_docs).alias("n_docs"), idf(F.col("df"), n_docs).alias("idf"))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from commentlens.functions.tokens import keyword_words
 
-MAX_POSTINGS = 5_000_000  # (word, document) pairs one task holds as its index
+MAX_POSTINGS = 2_000_000  # (word, document) pairs one task holds as its index
 
 
 def word_intersection(a, b):
@@ -66,6 +66,7 @@ def keyword_overlap_match(
     """
     asked = _word_table(questions, question_key, question_text, "question")
     library = _word_table(documents, document_key, document_text, "document")
+    library = library.filter(F.size("words") > 0)
     size = library.agg(F.sum(F.size("words")).alias("postings")).first()["postings"] or 0
     schema = f"question {asked.schema['question'].dataType.simpleString()}, " \
              f"document {library.schema['document'].dataType.simpleString()}, score bigint"
@@ -86,7 +87,7 @@ def _matches(index: WordIndex, frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _match_shipped(asked: DataFrame, library: DataFrame, schema: str) -> DataFrame:
-    rows = library.collect()  # at most max_postings words, measured above
+    rows = library.collect()  # at most max_postings rows and words, measured above
     shipped = asked.sparkSession.sparkContext.broadcast(
         ([r["document"] for r in rows], [r["words"] for r in rows])
     )

@@ -27,6 +27,7 @@ from commentlens.operators.features import (
     fit_vectorizer,
     idf,
     term_table,
+    top_terms,
     vectorizer,
 )
 from commentlens.operators.metrics import classification_metrics, rank_models
@@ -39,6 +40,8 @@ from commentlens.operators.sampling import (
 )
 from commentlens.operators.scoring import SentimentDecision
 from commentlens.session import written
+from commentlens.sources.readers import path_exists
+from commentlens.sources.writers import write_table
 
 PARALLELISM = 8
 GRID_MAX_FEATURES = 1 << 20  # the grid sets no vocabulary limit of its own; this bounds the model
@@ -191,7 +194,7 @@ def fit_candidate(
     df = drop_unusable(df)
     sizes = class_sizes(df)
     weights = class_weights(sizes)
-    features = fit_vectorizer(df, **(bounds or {}))
+    features = fit_vectorizer(df, n_docs=sum(sizes.values()), **(bounds or {}))
     rows = _indexed(df, list(sizes), weights)
     if name == "tfidf_linear_svm":
         rows = stratified_folds(rows, key, k=params.get("folds", 3))
@@ -247,7 +250,7 @@ def grid_search(
         kept = stats.filter((seen >= min_df) & (seen <= max_df * n))
         if ngram_max == 1:
             kept = kept.filter(~F.col("term").contains(" "))
-        top = kept.orderBy(F.desc(f"cf{fold}"), "term").limit(GRID_MAX_FEATURES)
+        top = top_terms(kept, f"cf{fold}", GRID_MAX_FEATURES)
         vocab = [tuple(r) for r in top.select("term", idf(seen, n)).collect()]
         rows = _indexed(train, classes, class_weights(fold_sizes[fold]))
         ready = vectorizer(vocab, ngram_max).transform(rows)
@@ -386,6 +389,17 @@ def model_report(spark: SparkSession, s: Selection) -> DataFrame:
     return spark.createDataFrame([tuple(report.values())], schema)
 
 
+def save_report(report: DataFrame, path: str) -> None:
+    write_table(report, path)
+
+
+def load_report(spark: SparkSession, path: str) -> dict | None:
+    """A stored report, or None when no model has been trained yet."""
+    if not path_exists(spark, path):
+        return None
+    return spark.read.json(path).first().asDict()
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

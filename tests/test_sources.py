@@ -43,6 +43,14 @@ def test_csv_without_known_columns(spark, tmp_path):
         readers.load_valid_texts(spark, str(tmp_path / "in.xml"))
 
 
+def test_json_files_in_one_piece(spark, tmp_path):
+    path = tmp_path / "batch.json"
+    path.write_text(json.dumps([{"id": "a", "attributes": {"comment": " x "}}, {"id": "b", "text": "y"}], indent=2))
+    assert [r[0] for r in readers.load_valid_texts(spark, str(path), whole_files=True).collect()] == ["x", "y"]
+    rows = readers.read_comments(spark, str(path), "id string, text string", whole_files=True).collect()
+    assert [tuple(r) for r in rows] == [("a", None), ("b", "y")]
+
+
 def test_column_resolution(spark):
     df = spark.createDataFrame([(1, 2, 3)], "`Content` int, ` TEXT ` int, Sentiment int")
     assert readers.resolve_columns(df).columns == ["Content", "comment", "label"]

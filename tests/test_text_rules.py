@@ -57,17 +57,6 @@ def test_space_characters_are_pythons():
     assert set(rules.SPACE_CHARS) == {chr(c) for c in range(0x110000) if chr(c).isspace()}
 
 
-def test_stable_characters_survive_nfkc(spark):
-    """Whatever the JVM path leaves alone, NFKC leaves alone too, alone and between neighbours."""
-    chars = [chr(c) for c in range(1, 0x3000) if not 0xD800 <= c < 0xE000]
-    stable = apply(spark, lambda v: ~F.col(v).rlike(f"[^{text.NFKC_STABLE}]"), chars)
-    kept = [c for c, s in zip(chars, stable) if s]
-    assert len(kept) > 300
-    joined = "".join(kept)
-    assert unicodedata.normalize("NFKC", joined) == joined
-    assert all(unicodedata.combining(c) == 0 for c in kept)
-
-
 @settings(max_examples=15, deadline=None)
 @given(st.lists(st.text(st.characters(min_codepoint=1, exclude_categories=["Cs"]), max_size=40), min_size=20, max_size=60))
 def test_normalisation_and_unescaping_match_python(spark, texts):
