@@ -126,8 +126,8 @@ def placeholder_only(c: Column | str) -> Column:
     """A bare pointer to an attachment. ``(?d)``: the dot stops at line feeds only."""
     c = col(c)
     pattern = "(?iuUd)" + rules.PLACEHOLDER_PATTERN
-    short = space_separated_words(c) <= rules.PLACEHOLDER_MAX_WORDS
-    return short & strip(c).rlike(pattern)
+    # The anchored pattern fails at the first character of most texts; the words are counted after.
+    return strip(c).rlike(pattern) & (space_separated_words(c) <= rules.PLACEHOLDER_MAX_WORDS)
 
 
 def short_flag(normalized: Column | str) -> Column:

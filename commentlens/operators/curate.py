@@ -17,7 +17,7 @@ from commentlens.functions.text import (
     short_flag,
     strip,
 )
-from commentlens.operators.keyed import first_rows
+from commentlens.operators.keyed import first_positions, first_rows
 
 
 def docket_fallback(docket: str, document: str) -> Column:
@@ -64,9 +64,10 @@ def dedup_exact(df: DataFrame, text: str, order: str) -> DataFrame:
 
 
 def clean_raw(df: DataFrame, order: str) -> DataFrame:
-    """Usable, distinct raw comments."""
-    usable = tag_raw(df).filter(F.col("reason").isNull())
-    return first_rows(usable, "text_key", [order]).drop("reason", "text_key")
+    """Usable, distinct raw comments. Only rows that stay are cleaned a second time."""
+    firsts = first_positions(tag_raw(df), "text_key", [order])
+    kept = df.join(firsts, order, "left_semi")
+    return kept.withColumn("comment", clean_html_text("comment"))
 
 
 def raw_clean_report(df: DataFrame) -> DataFrame:

@@ -15,15 +15,23 @@ def _position(order: list[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
 
-def first_rows(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The row with the smallest position of each key. ``order`` must identify a row."""
-    winners = df.groupBy(key).agg(F.min(_position(order)).alias("_first"))
-    winners = winners.select(
+def first_positions(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The smallest position of each key, as the columns of ``order``; a NULL key has none."""
+    winners = df.groupBy(key).agg(
+        F.min(_position(order)).alias("_first"), F.count(key).alias("_known")
+    )
+    # The count is an aggregate, so this filter stays above it and no costly key is computed twice.
+    winners = winners.filter(F.col("_known") > 0)
+    return winners.select(
         F.col("_first").alias(order[0])
         if len(order) == 1
         else F.inline(F.array("_first")).alias(*order)
     )
-    return df.join(winners, order, "left_semi")
+
+
+def first_rows(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The row with the smallest position of each key. ``order`` must identify a row."""
+    return df.join(first_positions(df, key, order), order, "left_semi")
 
 
 def merge_batches(df: DataFrame, key: str, position: str) -> DataFrame:

@@ -143,6 +143,13 @@ def label_distribution(df: DataFrame) -> DataFrame:
     )
 
 
+def cleaned_label_distribution(df: DataFrame, order: str) -> DataFrame:
+    """The label distribution that cleaning would leave, without moving a single text."""
+    texts = _distinct_texts(_slim(df, order, "remove"))
+    kept = F.col("text_key").isNotNull() & ~F.col("emptied")
+    return label_distribution(texts.withColumn("label", F.when(kept, F.col("label"))).filter("label IS NOT NULL"))
+
+
 def imbalance_ratio(df: DataFrame) -> DataFrame:
     """Largest over smallest class that occurs, and whether that calls for a warning."""
     counts = [F.count_if(F.col("label") == label).alias(label) for label in rules.LABELS]

@@ -14,7 +14,7 @@ from commentlens.plans import bindings as b
 from commentlens.plans.registry import query
 from commentlens.plans.table_queries import METRICS_FROM_P, SPLIT_SQL
 from commentlens.plans.text_queries import terms_sql
-from commentlens.session import work_folder
+from commentlens.session import work_folder, written
 
 # Vocabulary and unit-length TF-IDF weights of the rows of ``src`` (doc_id, label, comment).
 WEIGHTS_SQL = f"""{terms_sql('src')},
@@ -107,7 +107,7 @@ def nb_log_probabilities(spark, sf):
 
 
 def _split(spark, sf):
-    return sampling.stratified_split(b.labelled(spark, sf), "doc_id")[0]
+    return written(sampling.stratified_split(b.labelled(spark, sf), "doc_id")[0], "split", even=True)
 
 
 def _held_out_scores(spark, sf, name):

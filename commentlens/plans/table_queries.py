@@ -320,7 +320,7 @@ DISTRIBUTION_SQL = """SELECT n.label, coalesce(c.n, 0) AS count, CAST(n.position
 )
 def cleaned_label_distribution(spark, sf):
     """The flagship: sentiment shares after cleaning."""
-    return quality.label_distribution(curate.validate_and_clean(b.messy(spark, sf), "doc_id"))
+    return quality.cleaned_label_distribution(b.messy(spark, sf), "doc_id")
 
 
 @query(
