@@ -13,7 +13,7 @@ def shift_api_date(c: Column | str, hours: int = rules.OVERLAP_HOURS) -> Column:
     """ISO-8601 UTC text, moved back by ``hours``, as ``yyyy-MM-dd HH:mm:ss``; NULL if unreadable."""
     seconds = F.split_part(F.regexp_replace(col(c), "Z\\z", ""), F.lit("."), F.lit(1))
     readable = F.when(seconds.rlike("^\\d{4}-\\d{1,2}-\\d{1,2}T\\d{1,2}:\\d{1,2}:\\d{1,2}$"), seconds)
-    moment = F.try_to_timestamp(readable, F.lit("y-M-d'T'H:m:s"))
+    moment = readable.try_cast("timestamp_ntz")
     return F.date_format(moment - F.make_interval(hours=F.lit(hours)), "yyyy-MM-dd HH:mm:ss")
 
 

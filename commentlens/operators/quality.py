@@ -232,6 +232,16 @@ def tall(report: DataFrame) -> DataFrame:
     return report.select(F.inline(F.array(*pairs)))
 
 
+def report_lines(report: DataFrame) -> DataFrame:
+    """A one-row report as text for a reader: ``(line, text)``."""
+    numbers = [c for c in report.columns if c != "warnings"]
+    lines = [F.format_string("%-40s %s", F.lit(f"{c}:"), F.col(c).cast("string")) for c in numbers]
+    text = F.array(*lines)
+    if "warnings" in report.columns:
+        text = F.concat(text, F.transform("warnings", lambda w: F.concat(F.lit("- "), w)))
+    return report.select(F.posexplode(text).alias("line", "text"))
+
+
 def kind_report(df: DataFrame) -> DataFrame:
     """Count and percentage (one decimal) of substantive, attachment and empty comments."""
     kinds = ["substantive", "attachment", "null_or_empty"]

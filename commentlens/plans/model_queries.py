@@ -153,10 +153,27 @@ def select_refit_test(spark, sf):
     return chosen.test_metrics.select(F.lit(chosen.name).alias("model"), *metrics.SCORES)
 
 
-@query("model_report")
+@query(
+    "model_report",
+    nb_test_sql("'train', 'val'")
+    % """'tfidf_multinomial_nb' AS model_type, 42::BIGINT AS random_state, (SELECT n FROM goal)::BIGINT AS dataset_size_total,
+         (SELECT train FROM goal)::BIGINT AS train_size, (SELECT count(*) FROM all_rows WHERE label = 'Negative') AS negative_rows,""",
+)
 def model_report(spark, sf):
+    """The stored record of a run with one candidate, read back."""
     nb = [models.Candidate("tfidf_multinomial_nb")]
-    return models.model_report(spark, models.select_refit_test(b.labelled(spark, sf), "doc_id", nb, tune=False))
+    chosen = models.select_refit_test(b.labelled(spark, sf), "doc_id", nb, tune=False)
+    path = work_folder(spark, "report") + ".json"
+    models.save_report(models.model_report(spark, chosen), path)
+    scores = [F.get_json_object("test_set_metrics", f"$.{s}").cast("double").alias(s) for s in metrics.SCORES]
+    return spark.read.json(path).select(
+        "model_type",
+        "random_state",
+        "dataset_size_total",
+        F.get_json_object("split_info", "$.train_size").cast("bigint").alias("train_size"),
+        F.get_json_object("dataset_class_distribution", "$.Negative").cast("bigint").alias("negative_rows"),
+        *scores,
+    )
 
 
 @query(

@@ -12,29 +12,32 @@ from commentlens.session import work_folder
 from commentlens.streaming import jobs
 
 
-def _land(df, purpose, parts=2):
-    """``df`` as files that arrive one after the other, in key order."""
-    folder = work_folder(df.sparkSession, purpose)
-    df.repartitionByRange(parts, df.columns[0]).write.parquet(folder)
-    return folder
+def _arrivals(spark, parts, job):
+    """Land the parts one after the other, each followed by a run of ``job(stream, out, checkpoint)``."""
+    folder, run = work_folder(spark, "landed"), work_folder(spark, "stream")
+    out = f"{run}/out"
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        job(jobs.arriving(spark, folder, part.schema), out, f"{run}/checkpoint")
+    return out
 
 
-def _out(spark):
-    folder = work_folder(spark, "stream")
-    return f"{folder}/out", f"{folder}/checkpoint"
+def _halves(df, key):
+    even = F.pmod(F.xxhash64(key), F.lit(2)) == 0
+    return [df.filter(even), df.filter(~even)]
+
+
+CUT = "timestamp_ntz'2024-01-15 12:00:00'"
 
 
 @query("stream_ingest_dedup", "SELECT event_id, event_type, value FROM events")
 def stream_ingest_dedup(spark, sf):
     """Two reads of the events: the second repeats the last six hours of the first."""
     events = b.table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
-    cut = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
-    folder = work_folder(spark, "events")
-    events.filter(F.col("ts") < cut).write.parquet(folder)
-    events.filter(F.col("ts") >= cut - F.expr("INTERVAL 6 HOURS")).write.mode("append").parquet(folder)
-    out, checkpoint = _out(spark)
-    arriving = jobs.arriving(spark, folder, events.schema)
-    jobs.stream_ingest_dedup(arriving, "event_id", "ts", out, checkpoint)
+    parts = [events.filter(f"ts < {CUT}"), events.filter(f"ts >= {CUT} - INTERVAL 6 HOURS")]
+    out = _arrivals(
+        spark, parts, lambda s, o, c: jobs.stream_ingest_dedup(s, "event_id", "ts", o, c)
+    )
     return spark.read.parquet(out).select("event_id", "event_type", "value")
 
 
@@ -47,8 +50,9 @@ def stream_ingest_dedup(spark, sf):
 def stream_score(spark, sf):
     model = models.fit_candidate(b.labelled(spark, sf), "doc_id", "tfidf_multinomial_nb")
     rows = b.messy(spark, sf).select("doc_id", "comment")
-    out, checkpoint = _out(spark)
-    jobs.stream_score(jobs.arriving(spark, _land(rows, "comments"), rows.schema), model, "comment", out, checkpoint)
+    out = _arrivals(
+        spark, _halves(rows, "doc_id"), lambda s, o, c: jobs.stream_score(s, model, "comment", o, c)
+    )
     return spark.read.parquet(out).drop("comment")
 
 
@@ -59,9 +63,11 @@ def stream_score(spark, sf):
 )
 def stream_trend(spark, sf):
     orders = b.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus")
-    out, checkpoint = _out(spark)
-    arriving = jobs.arriving(spark, _land(orders, "orders"), orders.schema, files_per_batch=1)
-    jobs.stream_trend(arriving, "o_orderdate", "o_orderstatus", out, checkpoint)
+    out = _arrivals(
+        spark,
+        _halves(orders, "o_orderkey"),
+        lambda s, o, c: jobs.stream_trend(s, "o_orderdate", "o_orderstatus", o, c),
+    )
     return spark.read.parquet(out).select("month", "label", "n")
 
 
@@ -71,9 +77,12 @@ def stream_trend(spark, sf):
        WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 6 HOUR FROM events) GROUP BY ALL""",
 )
 def stream_daily_trend(spark, sf):
+    """The closed days; the events arrive in order of time."""
     events = b.table(spark, sf, "events").select("ts", "event_type")
-    out, checkpoint = _out(spark)
-    jobs.stream_daily_trend(jobs.arriving(spark, _land(events, "events"), events.schema), "ts", "event_type", out, checkpoint)
+    parts = [events.filter(f"ts < {CUT}"), events.filter(f"ts >= {CUT}")]
+    out = _arrivals(
+        spark, parts, lambda s, o, c: jobs.stream_daily_trend(s, "ts", "event_type", o, c)
+    )
     return spark.read.parquet(out).select("day", "label", "n")
 
 
@@ -84,10 +93,9 @@ def stream_daily_trend(spark, sf):
 def stream_label_resume(spark, sf):
     """The documents arrive twice; the second time everything is skipped."""
     documents = b.table(spark, sf, "documents").select("doc_id", "text")
-    folder = _land(documents, "documents", parts=1)
-    out, checkpoint = _out(spark)
-    for _ in range(2):
-        arriving = jobs.arriving(spark, folder, documents.schema, files_per_batch=1)
-        jobs.stream_label_resume(arriving, "doc_id", "text", keyword_labeler, out, checkpoint)
-        documents.write.mode("append").parquet(folder)
+    out = _arrivals(
+        spark,
+        [documents, documents],
+        lambda s, o, c: jobs.stream_label_resume(s, "doc_id", "text", keyword_labeler, o, c),
+    )
     return spark.read.parquet(f"{out}/labelled.parquet").select("doc_id", "text_sha", "label")

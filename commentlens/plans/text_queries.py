@@ -337,6 +337,7 @@ def keyword_overlap_match(spark, sf):
        FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}') AS w FROM documents) d""",
 )
 def known_vocabulary_query(spark, sf):
+    """A vocabulary of 50 terms, so that there are documents without any of them."""
     vocab = tfidf_vocab(b.labelled(spark, sf), max_features=50).collect()
     model = vectorizer([(r["term"], r["idf"]) for r in vocab])
     rows = b.table(spark, sf, "documents").select("doc_id", F.col("text").alias("comment"))

@@ -42,7 +42,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     Only a local master may go without that setting; a cluster must name a folder every executor
     can reach.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")

@@ -16,10 +16,18 @@ from commentlens.operators.scoring import predict_batch
 from commentlens.sources.readers import load_prior_output
 
 
-def arriving(spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
-    )
+def arriving(
+    spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None
+) -> DataFrame:
+    """Files landed in ``folder``; what is there when a job starts is one batch.
+
+    Smaller batches suit the jobs without a watermark. With one, they need files that arrive in the
+    order of time, since rows far behind the newest one seen are late.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
 
 def _run(writer, checkpoint: str) -> None:

@@ -19,6 +19,8 @@ def test_clean_and_report(spark, comments):
     assert [report[f"count_{x}"] for x in ("Positive", "Negative", "Neutral")] == [15, 11, 7]
     assert report["class_imbalance_ratio"] == 2.14
     assert report["warnings"] == ["1 rows had labels outside ['Positive', 'Negative', 'Neutral'] and were removed."]
+    lines = [r["text"] for r in quality.report_lines(quality.quality_report(df, "id")).orderBy("line").collect()]
+    assert lines[0].split() == ["original_size:", "39"] and lines[-1].startswith("- 1 rows had labels")
     texts = [r["comment"] for r in clean.collect()]
     assert len(texts) == 33 and len(set(texts)) == 32  # equal only after cleaning: both stay
 
