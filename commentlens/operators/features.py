@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors, VectorUDT
@@ -104,13 +105,27 @@ def as_vector(size: Column, indices: Column, values: Column) -> Column:
     return F.from_json(F.to_json(F.struct(parts.alias("v"))), schema)["v"]
 
 
+def count_vectorizer(terms: list[str]) -> CountVectorizerModel:
+    """``CountVectorizerModel.from_vocabulary``, with the terms handed over in one call.
+
+    That method makes one call per term, which takes seconds for the default vocabulary. No term
+    holds a line feed.
+    """
+    jvm = SparkContext._active_spark_context._jvm
+    vocabulary = jvm.java.util.regex.Pattern.compile("\n").split("\n".join(terms))
+    model = CountVectorizerModel._create_from_java_class(
+        "org.apache.spark.ml.feature.CountVectorizerModel", vocabulary
+    )
+    return model.setInputCol("terms").setOutputCol("counts")
+
+
 def vectorizer(vocab: list[tuple[str, float]], ngram_max: int = rules.NGRAM_MAX) -> PipelineModel:
     """``comment`` to ``features``, for a vocabulary of (term, idf) in index order."""
     terms = [t for t, _ in vocab]
     return PipelineModel(
         [
             TfidfTokens(ngramMax=ngram_max),
-            CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="counts"),
+            count_vectorizer(terms),
             SublinearTf(),
             ElementwiseProduct(
                 scalingVec=Vectors.dense([w for _, w in vocab]), inputCol="damped", outputCol="weighted"
@@ -125,7 +140,7 @@ SCRATCH = ["terms", "counts", "damped", "weighted"]
 
 def fit_vectorizer(df: DataFrame, **bounds) -> PipelineModel:
     """A vectorizer for the vocabulary of ``df``; the vocabulary is bounded by ``max_features``."""
-    rows = tfidf_vocab(df, **bounds).orderBy(F.desc("cf"), "term").collect()
+    rows = tfidf_vocab(df, **bounds).collect()
     if not rows:
         raise ValueError("no term lies within the document-frequency bounds")
     ngram_max = bounds.get("ngram_max", rules.NGRAM_MAX)
