@@ -748,8 +748,7 @@ def quota_sql(name: str, sizes: str, draws: str) -> str:
   {name} AS (SELECT label, n, floor(exact) + CASE WHEN place <= missing THEN 1 ELSE 0 END AS quota FROM {name}_f)"""
 
 
-# Only the branch the table's size calls for is spelled out where it is used at sf0.01 and above;
-# the two-way branch shares its quotas with a validation part of zero rows.
+# Both branches of the split in one: without a validation part its quotas are zero.
 SPLIT_SQL = f"""
   src AS ({b.LABELLED}),
   sizes AS (SELECT label, count(*)::DOUBLE AS n FROM src GROUP BY label),
