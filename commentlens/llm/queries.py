@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentlens.llm import content_sort, mixing, packing, simhash
+from commentlens.llm import content_sort, language_id, mixing, packing, relative_parse, simhash, suffix_runs
+from commentlens.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,11 +36,42 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query(
+    "op2_relative_parse",
+    r"""
+WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, greatest(len(words) - 18, 1))) AS s,
+    unnest(list_transform(range(1, greatest(len(words) - 18, 1)), lambda i: array_to_string(list_slice(words, i, i + 19), ' '))) AS w
+  FROM split),
+later AS (SELECT doc_id, s FROM windows QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM later),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM split) ANTI JOIN gone USING (doc_id, i)
+  GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id)""",
+)
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    parsed = relative_parse.remove_repeats(documents(spark, sf))
+    return parsed.select(F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op4_packing")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(documents(spark, sf), tokenizer_file())
 
 
+@query("op5_language_id")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    trees = language_id.learn(docs.filter(remainder("doc_id", 3) != 1))
+    held_out = (remainder("doc_id", 3) == 1).alias("held_out")
+    return language_id.predict(docs, trees, carry=[F.col("doc_id"), held_out])
+
+
 @query("op6_simhash")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_copies(documents(spark, sf))
@@ -60,6 +92,39 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return content_sort.sort_by_content(documents(spark, sf), keep=["doc_id"])
 
 
+@query(
+    "op9_suffix_runs",
+    r"""
+WITH split AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(0, greatest(n - 99, 0))) AS s,
+    unnest(list_transform(range(0, greatest(n - 99, 0)), lambda i: md5_number(substr(x, 2 * i + 1, 200)))) AS w
+  FROM split),
+later AS (SELECT doc_id, s FROM windows QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, s) > 1),
+reach AS (SELECT doc_id, s, max(s + 100) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM later),
+runs AS (SELECT doc_id, s, sum(CASE WHEN e >= s THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS r FROM reach),
+spans AS (SELECT doc_id, r, min(s) AS a, max(s) + 100 AS b FROM runs GROUP BY doc_id, r),
+gaps AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b, b - a AS gone FROM spans),
+pieces AS (
+  SELECT doc_id, string_agg(substr(x, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS head, max(b + gone) AS e, sum(gone) AS gone, count(*) AS k
+  FROM gaps JOIN split USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, CAST(coalesce(k, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(e, 0) + 1))) AS kept_sha256
+FROM split LEFT JOIN pieces USING (doc_id)""",
+)
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    cut = suffix_runs.remove_repeats(documents(spark, sf))
+    return cut.select(
+        F.col("key").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query(
     "op10_poisson_mix",
     """
