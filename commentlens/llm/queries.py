@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentlens.llm import content_sort, language_id, mixing, packing, relative_parse, simhash, suffix_runs
+from commentlens.llm import chat_format, content_sort, dimension_scan, language_id, mixing, packing, relative_parse, simhash, suffix_runs
 from commentlens.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,11 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.select(F.col("key").alias("doc_id"), "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query("op3_dimension_scan")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return dimension_scan.nearest(spark.read.parquet(f"{sf}/embeddings.parquet"), "vec_id % 50 = 0")
+
+
 @query("op4_packing")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(documents(spark, sf), tokenizer_file())
@@ -92,6 +97,32 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return content_sort.sort_by_content(documents(spark, sf), keep=["doc_id"])
 
 
+@query(
+    "op8_chat_format",
+    r"""
+WITH rows AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked AS (
+  SELECT *, length(role) + length(text) + 10
+    + len(regexp_extract_all(text, '[<\[|]\\*(?:/s>|s>|/?INST\]|>)')) + len(regexp_extract_all(text, '[<\[|]\\*\|')) AS chars
+  FROM rows)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM marked GROUP BY conv_id""",
+)
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    text = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id long, turn long, role string, text string"
+    )
+    rows = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    turns = chat_format.from_table(rows.unionByName(extra), "conv_id")
+    return chat_format.read_back(chat_format.format_turns(turns)).withColumnRenamed("key", "conv_id")
+
+
 @query(
     "op9_suffix_runs",
     r"""
