@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentlens.llm import chat_format, content_sort, dimension_scan, language_id, mixing, packing, relative_parse, simhash, suffix_runs
+from commentlens.llm import chat_format, content_sort, dimension_scan, hashed_maxent, language_id, mixing, packing, relative_parse, simhash, suffix_runs
 from commentlens.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,15 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_hashed_maxent")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    docs = documents(spark, sf)
+    held_out = remainder("doc_id", 7) == 2
+    found = hashed_maxent.score(docs, hashed_maxent.train(docs.filter(~held_out)))
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return found.withColumnRenamed("key", "doc_id").select("doc_id", held_out.alias("held_out"), *columns)
+
+
 @query(
     "op2_relative_parse",
     r"""
