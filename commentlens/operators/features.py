@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commentlens import rules
-from commentlens.functions.tokens import term_counts, tokenize_tfidf
+from commentlens.functions.tokens import term_counts, term_marks, tokenize_tfidf
 from commentlens.session import written
 
 
@@ -24,12 +24,20 @@ def term_table(df: DataFrame, ngram_max: int = rules.NGRAM_MAX, keep: list[str]
     return counted.select(*keep, "t.term", "t.tf")
 
 
-def top_terms(counts: DataFrame, frequency: str, n: int) -> DataFrame:
-    """The ``n`` most frequent terms of a written table of counts; equal ones in term order.
+def term_totals(df: DataFrame, terms: Column, by: list[str] = ()) -> DataFrame:
+    """``(…, term, df, cf)`` over all rows: each task adds up its own terms before anything is shuffled."""
+    marks = df.select(*by, F.inline(term_marks(terms)))
+    return marks.groupBy(*by, "term").agg(F.sum("seen").alias("df"), F.sum("tf").alias("cf"))
+
+
+def top_terms(counts: DataFrame, frequency: str, n: int | None) -> DataFrame:
+    """The ``n`` most frequent terms of a written table of counts (all without ``n``); equal ones in term order.
 
     A histogram over the magnitude of the frequencies shows below which value no term can be among
     them, so that not every task has to send ``n`` candidates.
     """
+    if n is None:
+        return counts.orderBy(F.desc(frequency), "term")
     step = F.floor(F.log2(frequency) * 8).alias("step")
     steps = counts.groupBy(step).agg(F.count("*").alias("n")).orderBy(F.desc("step")).collect()
     found, least = 0, 0.0
@@ -45,14 +53,12 @@ def tfidf_vocab(
     ngram_max: int = rules.NGRAM_MAX,
     min_df: int = rules.MIN_DF,
     max_df: float = rules.MAX_DF,
-    max_features: int = rules.MAX_FEATURES,
+    max_features: int | None = rules.MAX_FEATURES,
     n_docs: int | None = None,
 ) -> DataFrame:
     """``(term, df, cf, n_docs, idf)`` of the terms kept: the most frequent ones within the bounds."""
     n_docs = df.count() if n_docs is None else n_docs
-    counts = term_table(df, ngram_max).groupBy("term").agg(
-        F.count("*").alias("df"), F.sum("tf").alias("cf")
-    )
+    counts = term_totals(df, tokenize_tfidf("comment", ngram_max))
     kept = counts.filter((F.col("df") >= min_df) & (F.col("df") <= max_df * n_docs))
     top = top_terms(written(kept, "terms"), "cf", max_features)
     return top.select("term", "df", "cf", F.lit(n_docs).alias("n_docs"), idf(F.col("df"), n_docs).alias("idf"))
@@ -139,7 +145,7 @@ SCRATCH = ["terms", "counts", "damped", "weighted"]
 
 
 def fit_vectorizer(df: DataFrame, **bounds) -> PipelineModel:
-    """A vectorizer for the vocabulary of ``df``; the vocabulary is bounded by ``max_features``."""
+    """A vectorizer for the vocabulary of ``df``, which ``max_features`` and the number of rows bound."""
     rows = tfidf_vocab(df, **bounds).collect()
     if not rows:
         raise ValueError("no term lies within the document-frequency bounds")
@@ -158,13 +164,13 @@ def tfidf_weights(df: DataFrame, key: str, model: PipelineModel) -> DataFrame:
     vocab = [(i, t) for i, t in enumerate(vocabulary_of(model))]
     terms = df.sparkSession.createDataFrame(vocab, "index int, term string")
     tall = model.transform(df).select(key, F.inline(entries))
-    return tall.join(F.broadcast(terms), "index").select(key, "term", "weight")
+    return tall.join(terms, "index").select(key, "term", "weight")
 
 
 def idf_join(df: DataFrame, key: str, vocab: DataFrame, ngram_max: int = rules.NGRAM_MAX) -> DataFrame:
-    """Each document's known terms with their idf. The vocabulary is bounded, hence broadcast."""
+    """Each document's known terms with their idf. Spark broadcasts a vocabulary that it has found small enough."""
     terms = term_table(df, ngram_max, [key])
-    return terms.join(F.broadcast(vocab.select("term", "idf")), "term").select(key, "term", "tf", "idf")
+    return terms.join(vocab.select("term", "idf"), "term").select(key, "term", "tf", "idf")
 
 
 def known_vocabulary(features: Column) -> Column:

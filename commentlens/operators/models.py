@@ -11,6 +11,7 @@ import json
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import PipelineModel
@@ -21,17 +22,19 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from commentlens import rules
+from commentlens.functions.tokens import tokenize_tfidf
 from commentlens.operators.curate import drop_unusable
 from commentlens.operators.features import (
     class_weights,
     fit_vectorizer,
     idf,
-    term_table,
+    term_totals,
     top_terms,
     vectorizer,
 )
-from commentlens.operators.metrics import classification_metrics, rank_models
+from commentlens.operators.metrics import SCORES, classification_metrics, rank_models
 from commentlens.operators.sampling import (
+    at_most,
     class_sizes,
     fold_count,
     stratified_folds,
@@ -44,7 +47,9 @@ from commentlens.sources.readers import path_exists
 from commentlens.sources.writers import write_table
 
 PARALLELISM = 8
-GRID_MAX_FEATURES = 1 << 20  # the grid sets no vocabulary limit of its own; this bounds the model
+# Labelled rows that a fit uses at most; more are sampled by the hash of their key. All that a fit holds on
+# the driver, the vocabulary and its coefficients, follows from these rows.
+FIT_ROWS = 50_000
 MAX_ITER = 1000
 TOLERANCE = 1e-4
 
@@ -187,87 +192,104 @@ TRAINERS: dict[str, Callable] = {
 }
 
 
+@dataclass
+class Featurised:
+    """Rows with the features of one vocabulary, written once for all fits that share it."""
+
+    vectorizer: PipelineModel
+    rows: DataFrame
+    sizes: dict[str, int]
+
+
+def featurise(df: DataFrame, key: str, bounds: dict | None = None, fit_rows: int = FIT_ROWS) -> Featurised:
+    """Features of at most ``fit_rows`` usable rows, with folds for trainers that calibrate."""
+    df = at_most(drop_unusable(df), key, fit_rows)
+    sizes = class_sizes(df)
+    found = fit_vectorizer(df, n_docs=sum(sizes.values()), **(bounds or {}))
+    rows = stratified_folds(_indexed(df, list(sizes), class_weights(sizes)), key, k=3)
+    rows = found.transform(rows).select(key, "label", "y", "class_weight", "fold", "features")
+    return Featurised(found, written(rows, "features", even=True), sizes)
+
+
+def fit_on(ready: Featurised, name: str, **params) -> PipelineModel:
+    return PipelineModel(ready.vectorizer.stages + TRAINERS[name](ready.rows, ready.sizes, **params))
+
+
 def fit_candidate(
     df: DataFrame, key: str, name: str = "tfidf_logreg", bounds: dict | None = None, **params
 ) -> PipelineModel:
     """A fitted pipeline from ``comment`` to a decision."""
-    df = drop_unusable(df)
-    sizes = class_sizes(df)
-    weights = class_weights(sizes)
-    features = fit_vectorizer(df, n_docs=sum(sizes.values()), **(bounds or {}))
-    rows = _indexed(df, list(sizes), weights)
-    if name == "tfidf_linear_svm":
-        rows = stratified_folds(rows, key, k=params.get("folds", 3))
-    kept = [c for c in (key, "label", "y", "class_weight", "fold", "features") if c != "fold" or "fold" in rows.columns]
-    rows = written(features.transform(rows).select(*kept), "features", even=True)
-    return PipelineModel(features.stages + TRAINERS[name](rows, sizes, **params))
+    return fit_on(featurise(df, key, bounds), name, **params)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).select("label", F.col("predicted_sentiment").alias("predicted"))
 
 
-def cross_val_predict(
-    df: DataFrame, key: str, name: str, k: int = 3, bounds: dict | None = None, **params
-) -> DataFrame:
-    """Every row predicted by a model that has not seen it; vocabulary and idf included."""
-    folded = stratified_folds(df, key, k)
-    held = None
-    for fold in range(k):
-        model = fit_candidate(folded.filter(F.col("fold") != fold).drop("fold"), key, name, bounds, **params)
-        part = score(model, folded.filter(F.col("fold") == fold))
-        held = part if held is None else held.unionByName(part)
-    return held
+@dataclass
+class Grid:
+    """What every combination of a grid shares: written rows with their terms, and counts of terms per fold."""
 
+    rows: DataFrame  # key, label, fold, and the terms of each n-gram length
+    stats: DataFrame  # term, and per fold df and cf of the other folds
+    fold_sizes: list[dict[str, int]]  # rows per class outside each fold
 
-def grid_search(
-    train: DataFrame, key: str, grid: dict[str, list] = rules.GRID
-) -> tuple[dict, DataFrame]:
-    """Best parameters of the logistic regression by mean macro F1 over folds of the training part.
+    def vocabulary(self, fold: int, ngram_max: int, min_df: int, max_df: float) -> DataFrame:
+        """``(term, idf)`` in index order: all terms within the bounds that rows outside the fold hold."""
+        n = sum(self.fold_sizes[fold].values())
+        seen = F.col(f"df{fold}")
+        kept = self.stats.filter((seen >= min_df) & (seen <= max_df * n))
+        if ngram_max == 1:
+            kept = kept.filter(~F.col("term").contains(" "))
+        return top_terms(kept, f"cf{fold}", None).select("term", idf(seen, n).alias("idf"))
 
-    One aggregate counts every term per fold; the vocabulary of each combination and fold follows
-    from it by subtraction, so no fold sees the terms of its held-out rows.
+
+def grid_features(train: DataFrame, key: str, lengths: list[int], fit_rows: int = FIT_ROWS) -> Grid:
+    """Terms are cut from the texts once; one aggregate counts them per fold.
+
+    The vocabulary of each combination and fold follows from it by subtraction, so no fold sees the
+    terms of its held-out rows.
     """
-    spark = train.sparkSession
-    train = drop_unusable(train).select(key, "comment", "label")
+    train = at_most(drop_unusable(train).select(key, "comment", "label"), key, fit_rows)
     k = fold_count(class_sizes(train))
-    train = written(stratified_folds(train, key, k), "grid-rows", even=True)
-    cells = {(r["label"], r["fold"]): r["count"] for r in train.groupBy("label", "fold").count().collect()}
+    terms = [tokenize_tfidf("comment", n).alias(f"terms_{n}") for n in sorted(set(lengths))]
+    rows = written(stratified_folds(train, key, k).select(key, "label", "fold", *terms), "grid-rows", even=True)
+    cells = {(r["label"], r["fold"]): r["count"] for r in rows.groupBy("label", "fold").count().collect()}
     classes = [x for x in rules.LABELS if any(x == c for c, _ in cells)]
-    fold_sizes = [
-        {c: sum(n for (x, f), n in cells.items() if x == c and f != fold) for c in classes}
-        for fold in range(k)
-    ]
-    stats = term_table(train, max(grid["ngram_max"]), ["fold"]).groupBy("term").agg(
-        *[F.count_if(F.col("fold") != f).alias(f"df{f}") for f in range(k)],
-        *[F.coalesce(F.sum(F.when(F.col("fold") != f, F.col("tf"))), F.lit(0)).alias(f"cf{f}") for f in range(k)],
-    )
-    stats = written(stats, "grid-terms")
+    sizes = [{c: sum(n for (x, f), n in cells.items() if x == c and f != fold) for c in classes} for fold in range(k)]
+    totals = term_totals(rows, F.col(f"terms_{max(lengths)}"), ["fold"])
 
-    def features(fold: int, ngram_max: int, min_df: int, max_df: float) -> DataFrame:
-        n = sum(fold_sizes[fold].values())
-        seen = F.col(f"df{fold}")
-        kept = stats.filter((seen >= min_df) & (seen <= max_df * n))
-        if ngram_max == 1:
-            kept = kept.filter(~F.col("term").contains(" "))
-        top = top_terms(kept, f"cf{fold}", GRID_MAX_FEATURES)
-        vocab = [tuple(r) for r in top.select("term", idf(seen, n)).collect()]
-        rows = _indexed(train, classes, class_weights(fold_sizes[fold]))
-        ready = vectorizer(vocab, ngram_max).transform(rows)
-        return ready.select("label", "y", "class_weight", "fold", "features").persist()
+    def outside(value: str, fold: int) -> Column:
+        return F.sum(F.when(F.col("fold") != fold, F.col(value)).otherwise(0)).alias(f"{value}{fold}")
+
+    stats = totals.groupBy("term").agg(*[outside(v, f) for f in range(k) for v in ("df", "cf")])
+    return Grid(rows, written(stats, "grid-terms"), sizes)
+
+
+def grid_search(
+    train: DataFrame, key: str, grid: dict[str, list] = rules.GRID, fit_rows: int = FIT_ROWS
+) -> tuple[dict, DataFrame]:
+    """Best parameters of the logistic regression by mean macro F1 over folds of the training part."""
+    spark = train.sparkSession
+    shared = grid_features(train, key, grid["ngram_max"], fit_rows)
+    sizes = shared.fold_sizes
 
     def score_fold(fold: int, ngram_max: int, min_df: int, max_df: float) -> list[tuple]:
-        rows = features(fold, ngram_max, min_df, max_df)
+        vocab = [tuple(r) for r in shared.vocabulary(fold, ngram_max, min_df, max_df).collect()]
+        rows = _indexed(shared.rows, list(sizes[fold]), class_weights(sizes[fold]))
+        rows = rows.withColumn("terms", F.col(f"terms_{ngram_max}"))
+        ready = PipelineModel(vectorizer(vocab, ngram_max).stages[1:]).transform(rows)
+        ready = ready.select("label", "y", "class_weight", "fold", "features").persist()
         found = []
         for C in grid["C"]:
-            stages = train_logreg(rows.filter(F.col("fold") != fold), fold_sizes[fold], C)
-            held = score(PipelineModel(stages), rows.filter(F.col("fold") == fold))
+            stages = train_logreg(ready.filter(F.col("fold") != fold), sizes[fold], C)
+            held = score(PipelineModel(stages), ready.filter(F.col("fold") == fold))
             f1 = classification_metrics(held, digits=10).first()["f1_macro"]
             found.append((C, max_df, min_df, ngram_max, fold, f1))
-        rows.unpersist()
+        ready.unpersist()
         return found
 
-    shapes = itertools.product(grid["ngram_max"], grid["min_df"], grid["max_df"], range(k))
+    shapes = itertools.product(grid["ngram_max"], grid["min_df"], grid["max_df"], range(len(sizes)))
     runs = _each(spark, [lambda s=s: score_fold(s[3], s[0], s[1], s[2]) for s in shapes])
     scores = spark.createDataFrame(
         [r for run in runs for r in run],
@@ -293,38 +315,62 @@ CANDIDATES = [Candidate(name) for name in TRAINERS]
 
 
 def tuned(params: dict) -> Candidate:
-    """The logistic regression with the grid's winning parameters."""
+    """The logistic regression with the grid's winning parameters; its vocabulary has no other limit."""
     bounds = {n: params[n] for n in ("ngram_max", "min_df", "max_df")}
-    return Candidate("tfidf_logreg_tuned", {**bounds, "max_features": GRID_MAX_FEATURES}, {"C": params["C"]})
+    return Candidate("tfidf_logreg_tuned", {**bounds, "max_features": None}, {"C": params["C"]})
 
 
-def _fit(df: DataFrame, key: str, c: Candidate) -> PipelineModel:
-    trainer = c.name.removesuffix("_tuned")
-    return fit_candidate(df, key, trainer, c.bounds, **c.params)
+def _fit_each(df: DataFrame, key: str, candidates: list[Candidate]) -> list[PipelineModel]:
+    """All candidates fitted on ``df``; those with the same bounds share one table of features."""
+    ready: dict[str, Featurised] = {}
+    models = []
+    for c in candidates:
+        bounds = json.dumps(c.bounds, sort_keys=True)
+        if bounds not in ready:
+            ready[bounds] = featurise(df, key, c.bounds)
+        models.append(fit_on(ready[bounds], c.name.removesuffix("_tuned"), **c.params))
+    return models
 
 
 def compare_models(
     train: DataFrame, validation: DataFrame | None, key: str, candidates: list[Candidate] = CANDIDATES
 ) -> DataFrame:
-    """Every candidate judged alike: on the validation part, or by 3-fold prediction without one."""
+    """Every candidate judged alike: on the validation part, or by 3-fold prediction without one.
+
+    One row per candidate with all scores; ``per_class`` and ``confusion_matrix`` are JSON.
+    """
+    if validation is not None:
+        judged_on = "validation_split"
+        held = [score(model, validation) for model in _fit_each(train, key, candidates)]
+    else:
+        # Every row is predicted by a model that has not seen it, vocabulary and idf included.
+        judged_on = "3fold_cv_on_train"
+        folded = stratified_folds(train, key, 3)
+        parts = []
+        for fold in range(3):
+            fitted = _fit_each(folded.filter(F.col("fold") != fold).drop("fold"), key, candidates)
+            parts.append([score(model, folded.filter(F.col("fold") == fold)) for model in fitted])
+        held = [a.unionByName(b).unionByName(c) for a, b, c in zip(*parts)]
     rows = []
-    for number, c in enumerate(candidates):
-        if validation is not None:
-            predicted, judged_on = score(_fit(train, key, c), validation), "validation_split"
-        else:
-            trainer = c.name.removesuffix("_tuned")
-            predicted = cross_val_predict(train, key, trainer, 3, c.bounds, **c.params)
-            judged_on = "3fold_cv_on_train"
-        metrics = classification_metrics(predicted).first()
-        scores = [metrics[s] for s in ("accuracy", "f1_macro", "f1_weighted")]
-        rows.append((number, c.name, *scores, judged_on))
+    for number, (c, predicted) in enumerate(zip(candidates, held)):
+        found = classification_metrics(predicted).first().asDict(recursive=True)
+        detail = [json.dumps(found[x], sort_keys=True) for x in ("per_class", "confusion_matrix")]
+        rows.append((number, c.name, *[found[s] for s in SCORES], *detail, judged_on))
+    scores = ", ".join(f"{s} double" for s in SCORES)
     return train.sparkSession.createDataFrame(
-        rows,
-        "candidate int, model string, accuracy double, f1_macro double, f1_weighted double, "
-        "evaluated_on string",
+        rows, f"candidate int, model string, {scores}, per_class string, confusion_matrix string, evaluated_on string"
     )
 
 
+def comparison_report(comparison: DataFrame, split_info: dict) -> DataFrame:
+    """The comparison as one row to be stored: how the data was split, and all scores, best candidate first."""
+    ranked = [r.asDict() for r in rank_models(comparison).collect()]
+    for row in ranked:
+        row.update({x: json.loads(row[x]) for x in ("per_class", "confusion_matrix")})
+    values = (json.dumps(split_info), ranked[0]["model"] if ranked else None, json.dumps(ranked))
+    return comparison.sparkSession.createDataFrame([values], "split_info string, best_model string, candidates string")
+
+
 def min_rows_guard(df: DataFrame, least: int = rules.MIN_ROWS_TO_TRAIN) -> None:
     """Refuse to train on next to nothing. Reads no more rows than it needs."""
     found = df.limit(least).count()
@@ -363,7 +409,7 @@ def select_refit_test(
     comparison = compare_models(train, validation, key, contenders)
     winner = rank_models(comparison).first()
     chosen = contenders[winner["candidate"]]
-    model = _fit(union_splits(df, "train", "val"), key, chosen)
+    model = _fit_each(union_splits(df, "train", "val"), key, [chosen])[0]
     test = classification_metrics(score(model, union_splits(df, "test")))
     return Selection(model, chosen.name, comparison, test, info, params, class_sizes(df))
 
@@ -373,6 +419,8 @@ def model_report(spark: SparkSession, s: Selection) -> DataFrame:
     report = {
         "model_type": s.name,
         "selection_reason": "highest macro F1, then weighted F1, then accuracy",
+        "training_date": datetime.now(timezone.utc).isoformat(timespec="seconds"),
+        "noise_note": "labels are given by a labeler, not by people, and hold its errors; so do the scores",
         "random_state": rules.SEED,
         "dataset_size_total": sum(s.class_sizes.values()),
         "dataset_class_distribution": json.dumps(s.class_sizes),
@@ -380,7 +428,8 @@ def model_report(spark: SparkSession, s: Selection) -> DataFrame:
         "tuned_baseline_best_params": json.dumps(s.best_params),
         "test_set_metrics": json.dumps(s.test_metrics.first().asDict(recursive=True)),
         "candidate_comparison_on_eval_split": json.dumps(
-            [r.asDict() for r in rank_models(s.comparison).collect()]
+            [{k: v for k, v in r.asDict().items() if k not in ("per_class", "confusion_matrix")}
+             for r in rank_models(s.comparison).collect()]
         ),
     }
     schema = ", ".join(

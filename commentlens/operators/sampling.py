@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from commentlens import rules
+from commentlens.session import written
 
 BUCKET_DIGITS = 4  # 65,536 buckets per class
 
@@ -149,12 +150,47 @@ def stratified_folds(
     return df.withColumn("fold", cuts.part(F.col("label"), hash_order(key, seed), F.col(key)))
 
 
+def at_most(df: DataFrame, key: str, n: int, seed: int = rules.SEED) -> DataFrame:
+    """All rows, or if there are more than ``n`` the first ``n`` in hash order. Keys must be unique.
+
+    The cut is a value found by histogram and compared in a map, so no task holds the ``n`` rows.
+    """
+    if n < 1 or df.count() <= n:
+        return df.limit(0) if n < 1 else df
+    everything = F.lit("")
+    cuts = find_cuts(df, key, everything, {"": [n]}, seed)
+    return df.filter(cuts.part(everything, hash_order(key, seed), F.col(key)) == 0)
+
+
+def first_by(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The ``n`` rows that come first by ``order``, which must identify a row; NULLs first.
+
+    Only the columns of ``order`` are sorted, across the cluster. The sizes of the sorted partitions tell where the
+    ``n``-th row lies, and its values are compared with every row in a map.
+    """
+    if n < 1:
+        return df.limit(0)
+    numbered = df.select(*order).orderBy(*order).withColumn("_at", F.monotonically_increasing_id())
+    numbered = written(numbered, "order")
+    part = F.shiftright("_at", 33)
+    sizes = sorted(numbered.groupBy(part.alias("part")).count().collect())
+    for row in sizes:
+        if n <= row["count"]:
+            break
+        n -= row["count"]
+    else:
+        return df
+    last = numbered.filter(F.col("_at") == (row["part"] << 33) + n - 1).first()
+    kinds = [df.schema[c].dataType for c in order]
+    end = F.struct(*[F.lit(last[c]).cast(kind).alias(c) for c, kind in zip(order, kinds)])
+    return df.filter(F.struct(*order) <= end)
+
+
 def review_sample(
     df: DataFrame, key: str, n: int = rules.REVIEW_ROWS, seed: int = rules.SEED
 ) -> DataFrame:
     """``n`` rows drawn by seed, with an empty column for a human's label."""
-    drawn = df.orderBy(hash_order(key, seed), key).limit(n)
-    return drawn.withColumn("human_reviewed_label", F.lit(""))
+    return at_most(df, key, n, seed).withColumn("human_reviewed_label", F.lit(""))
 
 
 def random_comment(df: DataFrame, key: str, seed: int = rules.SEED) -> DataFrame:
@@ -162,7 +198,8 @@ def random_comment(df: DataFrame, key: str, seed: int = rules.SEED) -> DataFrame
 
 
 def row_limit(df: DataFrame, order: str, n: int) -> DataFrame:
-    return df.orderBy(order).limit(max(0, n))
+    """At most ``n`` rows, those with the smallest ``order``."""
+    return first_by(df, [order], n)
 
 
 def union_splits(df: DataFrame, *names: str) -> DataFrame:

@@ -6,8 +6,11 @@ tests, by its properties.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
+from commentlens import rules
 from commentlens.functions.labels import label_rank
 from commentlens.operators import features, labeling, metrics, models, sampling, scoring
 from commentlens.plans import bindings as b
@@ -43,11 +46,11 @@ NB_SQL = f"""{WEIGHTS_SQL}, {NB_LEARNED_SQL}, {terms_sql('asked', 'q')},
     bool_or(known) AS known FROM shares GROUP BY doc_id)"""
 
 
-def nb_test_sql(train: str) -> str:
-    """Scores on the test part of naive Bayes trained on the given parts."""
+def nb_test_sql(train: str, test: str = "'test'") -> str:
+    """Scores on one part of naive Bayes trained on the given parts."""
     split = SPLIT_SQL.replace("  src AS", "  all_rows AS").replace("FROM src", "FROM all_rows").replace("src.*", "all_rows.*")
     return f"""WITH {split}, src AS (SELECT doc_id, label, comment FROM split WHERE split IN ({train})),
-      asked AS (SELECT doc_id, label, comment FROM split WHERE split = 'test'), {NB_SQL},
+      asked AS (SELECT doc_id, label, comment FROM split WHERE split = {test}), {NB_SQL},
       p AS (SELECT a.doc_id, a.label, x.predicted FROM asked a JOIN answers x ON x.doc_id = a.doc_id), {METRICS_FROM_P}
       SELECT %s round((SELECT count(*) FILTER (label = predicted)::DOUBLE / count(*) FROM p), 4) AS accuracy,
         round(avg(precision), 4) AS precision_macro, round(avg(recall), 4) AS recall_macro, round(avg(f1), 4) AS f1_macro,
@@ -132,47 +135,91 @@ def train_multinomial_nb(spark, sf):
     return _held_out_scores(spark, sf, "tfidf_multinomial_nb")
 
 
+GRID_SQL = f"""WITH {SPLIT_SQL.replace("  src AS", "  all_rows AS").replace("FROM src", "FROM all_rows").replace("src.*", "all_rows.*")},
+  src AS (SELECT doc_id, label, comment FROM split WHERE split = 'train'),
+  small AS (SELECT min(n) AS least FROM (SELECT count(*) AS n FROM src GROUP BY label)),
+  folded AS (SELECT doc_id, CASE WHEN least >= 3 THEN ntile(3) OVER w ELSE ntile(2) OVER w END - 1 AS fold FROM src, small
+    WINDOW w AS (PARTITION BY label ORDER BY md5('42:' || doc_id), doc_id)), {terms_sql('src')},
+  outside AS (SELECT DISTINCT fold FROM folded),
+  sizes_out AS (SELECT o.fold, count(*)::DOUBLE AS n FROM outside o JOIN folded f ON f.fold <> o.fold GROUP BY o.fold),
+  seen AS (SELECT o.fold, t.term, count(*) AS df FROM tf t JOIN folded f USING (doc_id) JOIN outside o ON o.fold <> f.fold GROUP BY ALL),
+  shapes AS (SELECT * FROM (VALUES (1), (2)) a(ngram_max), (VALUES (1), (2)) b(min_df), (VALUES (0.9::DOUBLE), (0.95::DOUBLE)) c(max_df))
+  SELECT ngram_max, min_df, max_df, CAST(s.fold AS INTEGER) AS fold, CAST(any_value(n) AS BIGINT) AS n_docs, count(*) AS terms,
+    round(sum(ln((1 + n) / (1 + df)) + 1), 3) AS idf_sum
+  FROM seen s JOIN sizes_out USING (fold), shapes
+  WHERE df >= min_df AND df <= max_df * n AND (ngram_max = 2 OR NOT contains(term, ' ')) GROUP BY ALL"""
+
+
+@query("grid_features", GRID_SQL)
+def grid_features(spark, sf):
+    """The vocabulary of every shape and fold of the whole grid, before any model is fitted on it."""
+    grid = models.grid_features(sampling.union_splits(_split(spark, sf), "train"), "doc_id", rules.GRID["ngram_max"])
+    found = None
+    shapes = itertools.product(*(rules.GRID[n] for n in ("ngram_max", "min_df", "max_df")), range(len(grid.fold_sizes)))
+    for ngram_max, min_df, max_df, fold in shapes:
+        names = [F.lit(x).alias(n) for x, n in zip((ngram_max, min_df, max_df, fold), ("ngram_max", "min_df", "max_df", "fold"))]
+        n_docs = F.lit(sum(grid.fold_sizes[fold].values())).cast("bigint").alias("n_docs")
+        one = grid.vocabulary(fold, ngram_max, min_df, max_df).agg(
+            F.count("*").alias("terms"), F.round(F.sum("idf"), 3).alias("idf_sum")
+        ).select(*names, n_docs, "terms", "idf_sum")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
 @query("grid_search")
 def grid_search(spark, sf):
-    """A part of the default grid: the number of fits, not the data, is what this query spares."""
-    grid = {"ngram_max": [1, 2], "min_df": [2], "max_df": [0.95], "C": [0.5, 5.0]}
-    _, results = models.grid_search(sampling.union_splits(_split(spark, sf), "train"), "doc_id", grid)
+    """All combinations of the default grid."""
+    _, results = models.grid_search(sampling.union_splits(_split(spark, sf), "train"), "doc_id")
     return results
 
 
-@query("compare_models")
-def compare_models(spark, sf):
+def _compared(spark, sf):
     rows, info = sampling.stratified_split(b.labelled(spark, sf), "doc_id")
+    rows = written(rows, "split", even=True)
     validation = sampling.union_splits(rows, "val") if info["val_size"] else None
     return models.compare_models(sampling.union_splits(rows, "train"), validation, "doc_id")
 
 
+@query("compare_models")
+def compare_models(spark, sf):
+    return _compared(spark, sf)
+
+
+@query("comparison_nb", nb_test_sql("'train'", "'test'") % "'tfidf_multinomial_nb' AS model,")
+def comparison_nb(spark, sf):
+    """The part of a comparison that SQL can follow: naive Bayes beside another candidate, judged on the test part."""
+    split = _split(spark, sf)
+    candidates = [models.Candidate(f"tfidf_{name}") for name in ("logreg", "multinomial_nb")]
+    found = models.compare_models(
+        sampling.union_splits(split, "train"), sampling.union_splits(split, "test"), "doc_id", candidates
+    )
+    return found.filter("model = 'tfidf_multinomial_nb'").select("model", *metrics.SCORES)
+
+
 @query("select_refit_test")
 def select_refit_test(spark, sf):
-    chosen = models.select_refit_test(b.labelled(spark, sf), "doc_id", tune=False)
+    """The whole run: the grid, four candidates, the refit and one test."""
+    chosen = models.select_refit_test(b.labelled(spark, sf), "doc_id")
     return chosen.test_metrics.select(F.lit(chosen.name).alias("model"), *metrics.SCORES)
 
 
 @query(
     "model_report",
-    nb_test_sql("'train', 'val'")
-    % """'tfidf_multinomial_nb' AS model_type, 42::BIGINT AS random_state, (SELECT n FROM goal)::BIGINT AS dataset_size_total,
-         (SELECT train FROM goal)::BIGINT AS train_size, (SELECT count(*) FROM all_rows WHERE label = 'Negative') AS negative_rows,""",
+    f"""WITH {SPLIT_SQL} SELECT 42::BIGINT AS random_state, n::BIGINT AS dataset_size_total, train::BIGINT AS train_size,
+        (SELECT count(*) FROM src WHERE label = 'Negative') AS negative_rows, 4::BIGINT AS candidates FROM goal""",
 )
 def model_report(spark, sf):
-    """The stored record of a run with one candidate, read back."""
-    nb = [models.Candidate("tfidf_multinomial_nb")]
-    chosen = models.select_refit_test(b.labelled(spark, sf), "doc_id", nb, tune=False)
+    """The stored record of a whole run, read back; which candidate won is no matter for SQL."""
+    chosen = models.select_refit_test(b.labelled(spark, sf), "doc_id")
     path = work_folder(spark, "report") + ".json"
     models.save_report(models.model_report(spark, chosen), path)
-    scores = [F.get_json_object("test_set_metrics", f"$.{s}").cast("double").alias(s) for s in metrics.SCORES]
+    compared = F.get_json_object("candidate_comparison_on_eval_split", "$[*].candidate")
     return spark.read.json(path).select(
-        "model_type",
         "random_state",
         "dataset_size_total",
         F.get_json_object("split_info", "$.train_size").cast("bigint").alias("train_size"),
         F.get_json_object("dataset_class_distribution", "$.Negative").cast("bigint").alias("negative_rows"),
-        *scores,
+        F.json_array_length(compared).cast("bigint").alias("candidates"),
     )
 
 
@@ -263,7 +310,7 @@ ANSWER_SQL = """CASE WHEN length(text) % 11 = 0 THEN NULL WHEN contains(lower(te
 )
 def label_batch(spark, sf):
     rows = labeling.hashed(b.table(spark, sf, "documents"), "doc_id", "text")
-    good, failed = labeling.label_batch(rows, "doc_id", keyword_labeler, max_retries=2)
+    good, failed = labeling.label_batch(rows, "doc_id", keyword_labeler)
     none = F.lit(None).cast("string")
     return good.select("doc_id", "text_sha", "label", none.alias("error")).unionByName(
         failed.select("doc_id", "text_sha", none.alias("label"), "error")
@@ -279,8 +326,8 @@ def label_backlog(spark, sf):
     documents = b.table(spark, sf, "documents")
     folder = work_folder(spark, "labelling")
     half = documents.count() // 2
-    labeling.label_backlog(documents, "doc_id", "text", keyword_labeler, folder, limit=half, max_retries=1)
-    labeling.label_backlog(documents, "doc_id", "text", keyword_labeler, folder, waves=2, max_retries=1)
+    labeling.label_backlog(documents, "doc_id", "text", keyword_labeler, folder, limit=half)
+    labeling.label_backlog(documents, "doc_id", "text", keyword_labeler, folder, waves=2)
     return spark.read.parquet(f"{folder}/labelled.parquet").select("doc_id", "label")
 
 

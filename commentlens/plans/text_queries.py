@@ -236,6 +236,8 @@ def terms_sql(source: str, prefix: str = "") -> str:
 
 
 TERMS_SQL = terms_sql("src")
+# Texts without any word of a vocabulary, planted by id.
+UNKNOWN_TEXT = "CASE WHEN doc_id % 7 = 3 THEN concat('qzx', doc_id, 'vkj wqq', doc_id, 'zzk') ELSE text END"
 
 
 @query(
@@ -269,14 +271,14 @@ def display_model_name(spark, sf):
     """SELECT conv_id, turn, 'REGULATORY CONTEXT:' || chr(10) || b.text || chr(10) || chr(10) || 'USER QUESTION:'
         || chr(10) || c.text || chr(10) || chr(10) || 'Answer using ONLY the context above where possible; '
         || 'if it''s insufficient, say so explicitly.' AS prompt
-       FROM conversations c JOIN benchmark b ON b.item_id = c.conv_id % 40 WHERE role = 'user'""",
+       FROM conversations c JOIN benchmark b ON b.item_id = c.conv_id % (SELECT count(*) FROM benchmark) WHERE role = 'user'""",
 )
 def prompts(spark, sf):
     asked = b.table(spark, sf, "conversations").filter("role = 'user'")
     context = b.table(spark, sf, "benchmark").select(
         (F.col("item_id")).alias("item"), F.col("text").alias("context")
     )
-    rows = asked.withColumn("item", F.col("conv_id") % 40).join(context, "item")
+    rows = asked.withColumn("item", F.col("conv_id") % context.count()).join(context, "item")
     return rows.select("conv_id", "turn", build_prompt(F.col("context"), F.col("text")).alias("prompt"))
 
 
@@ -299,13 +301,13 @@ def round_stats(spark, sf):
     """SELECT d.doc_id, CAST(len(list_intersect(
          list_distinct(regexp_extract_all(lower(d.text), '[a-zA-Z]{3,}')),
          list_distinct(regexp_extract_all(lower(b.text), '[a-zA-Z]{3,}')))) AS BIGINT) AS shared
-       FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % 40""",
+       FROM documents d JOIN benchmark b ON b.item_id = d.doc_id % (SELECT count(*) FROM benchmark)""",
 )
 def word_intersection(spark, sf):
     items = b.table(spark, sf, "benchmark").select(
         F.col("item_id").alias("item"), tokens.keyword_words("text").alias("other")
     )
-    rows = b.table(spark, sf, "documents").withColumn("item", F.col("doc_id") % 40).join(items, "item")
+    rows = b.table(spark, sf, "documents").withColumn("item", F.col("doc_id") % items.count()).join(items, "item")
     shared = lookup.word_intersection(tokens.keyword_words("text"), F.col("other"))
     return rows.select("doc_id", shared.cast("bigint").alias("shared"))
 
@@ -331,14 +333,13 @@ def keyword_overlap_match(spark, sf):
     rf"""WITH src AS (SELECT doc_id, label, comment FROM ({b.LABELLED}) l), {TERMS_SQL},
        vocab AS (SELECT term, sum(tf) AS cf FROM tf GROUP BY term
                  HAVING count(*) >= 2 AND count(*) <= 0.95 * (SELECT count(*) FROM src)
-                 ORDER BY cf DESC, term LIMIT 50)
-       SELECT d.doc_id, EXISTS (SELECT 1 FROM vocab v WHERE list_contains(
-         list_concat(w, list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])), v.term)) AS known
-       FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}') AS w FROM documents) d""",
+                 ORDER BY cf DESC, term LIMIT 20000),
+       words AS (SELECT doc_id, unnest(regexp_extract_all(lower({UNKNOWN_TEXT}), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM documents)
+       SELECT doc_id, doc_id IN (SELECT w.doc_id FROM words w JOIN vocab USING (term)) AS known FROM documents""",
 )
 def known_vocabulary_query(spark, sf):
-    """A vocabulary of 50 terms, so that there are documents without any of them."""
-    vocab = tfidf_vocab(b.labelled(spark, sf), max_features=50).collect()
+    """The whole vocabulary; every seventh text is written in words that none of it holds."""
+    vocab = tfidf_vocab(b.labelled(spark, sf)).collect()
     model = vectorizer([(r["term"], r["idf"]) for r in vocab])
-    rows = b.table(spark, sf, "documents").select("doc_id", F.col("text").alias("comment"))
+    rows = b.table(spark, sf, "documents").select("doc_id", F.expr(UNKNOWN_TEXT).alias("comment"))
     return model.transform(rows).select("doc_id", known_vocabulary(F.col("features")).alias("known"))

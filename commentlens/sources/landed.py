@@ -6,12 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commentlens.operators.keyed import first_rows
-
-RAW_SCHEMA = (
-    "id string, attributes struct<comment: string, agencyId: string, docketId: string, "
-    "commentOnDocumentId: string, postedDate: string, lastModifiedDate: string>"
-)
-
+from commentlens.operators.sampling import first_by
 
 def landed_pages_ingest(
     pages: DataFrame, key: str, order: list[str], limit: int | None = None
@@ -19,7 +14,7 @@ def landed_pages_ingest(
     """First sighting of each id in page order, up to ``limit`` records; rows without id go."""
     known = pages.filter(F.col(key).cast("string") != "")
     firsts = first_rows(known, key, order)
-    return firsts if limit is None else firsts.orderBy(*order).limit(limit)
+    return firsts if limit is None else first_by(firsts, order, limit)
 
 
 def source_filter(

@@ -10,7 +10,6 @@ from tests.conftest import SF
 from tools.compare import TABLES, rows_of
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
-LONG = {"compare_models", "select_refit_test", "grid_search", "train_linear_svm", "train_logreg"}  # see test_models
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +25,7 @@ def test_entry(spark):
     assert df.columns == ["position", "label", "count", "percentage"] and df.count() == 3
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - LONG))
+@pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     got = rows_of(df.columns, df.collect())
