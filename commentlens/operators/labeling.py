@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from commentlens import rules
 from commentlens.functions.labels import parse_label
 from commentlens.functions.text import comment_hash
+from commentlens.operators.sampling import first_by
 from commentlens.session import written
 from commentlens.sources.readers import load_prior_output
 
@@ -28,6 +29,11 @@ def resume_mismatch(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return df.join(earlier, key).filter(F.col("text_sha") != F.col("earlier_sha"))
 
 
+def resume_missing(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """Rows processed earlier whose key the input no longer has."""
+    return done.join(df.select(key), key, "left_anti")
+
+
 def hashed(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, F.col(text).alias("comment"), comment_hash(text).alias("text_sha"))
 
@@ -83,14 +89,15 @@ def label_backlog(
     text: str,
     labeler: Labeler,
     folder: str,
-    waves: int = 1,
+    save_every: int | None = None,
     limit: int | None = None,
     max_retries: int = rules.MAX_RETRIES,
 ) -> None:
     """Label what ``folder`` does not hold yet and append to its two tables.
 
-    Progress is saved after every wave; running again goes on where the last run stopped. Rows that
-    failed count as processed. Raises when earlier output belongs to other texts.
+    Progress is saved after every ``save_every`` rows or so, unless given a few for each task that works at a
+    time; running again goes on where the last run stopped. Rows that failed count as processed. Raises when
+    earlier output belongs to other texts, or to rows that the input no longer has.
     """
     spark = df.sparkSession
     kind = df.schema[key].dataType.simpleString()
@@ -105,10 +112,14 @@ def label_backlog(
     )
     if not resume_mismatch(rows, done, key).isEmpty():
         raise ValueError("the input no longer matches the texts labelled earlier")
+    if not resume_missing(rows, done, key).isEmpty():
+        raise ValueError("the input lacks rows that were labelled earlier")
     pending = resume_anti_join(rows, done, key)
     if limit is not None:
-        pending = pending.orderBy(key).limit(max(0, limit))
+        pending = first_by(pending, [key], limit)
     pending = written(pending, "backlog")
+    save_every = save_every or rules.SAVE_EVERY * spark.sparkContext.defaultParallelism
+    waves = max(1, -(-pending.count() // save_every))
     for wave in range(waves):
         part = pending.filter(F.pmod(F.xxhash64(key), F.lit(waves)) == wave)
         labelled, failed = label_batch(part, key, labeler, max_retries)

@@ -2,46 +2,16 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commentlens.functions.tokens import keyword_words
 
-MAX_POSTINGS = 2_000_000  # (word, document) pairs one task holds as its index
-
-
 def word_intersection(a, b):
     """Size of the intersection of two word arrays."""
     return F.size(F.array_intersect(a, b))
 
 
-class WordIndex:
-    """Postings of a bounded set of documents, by word."""
-
-    def __init__(self, ids: list, words: list):
-        order = np.argsort(np.array(ids, dtype=object), kind="stable")
-        self.ids = [ids[i] for i in order]
-        postings: dict[str, list[int]] = {}
-        for place, i in enumerate(order):
-            for word in words[i]:
-                postings.setdefault(word, []).append(place)
-        self.postings = {w: np.array(p, dtype=np.int32) for w, p in postings.items()}
-
-    def best(self, words) -> tuple[object, int]:
-        """Document with most shared words, the smallest id on a tie; none without a shared word."""
-        hits = [self.postings[w] for w in words if w in self.postings]
-        if not hits:
-            return None, 0
-        scores = np.bincount(np.concatenate(hits), minlength=len(self.ids))
-        place = int(scores.argmax())
-        return self.ids[place], int(scores[place])
-
-
 def _word_table(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
     return df.select(
         F.col(key).alias(name), keyword_words(F.coalesce(F.col(text), F.lit(""))).alias("words")
@@ -55,73 +25,24 @@ def keyword_overlap_match(
     documents: DataFrame,
     document_key: str,
     document_text: str,
-    max_postings: int = MAX_POSTINGS,
 ) -> DataFrame:
     """``(question, document, score)`` for every question; NULL and 0 where no word is shared.
 
-    A library whose measured size fits one task is shipped to every task and questions are matched
-    where they lie, without a shuffle. A larger one is cut into blocks that do fit; each question
-    meets each block once and the best of its block winners is kept. Both ways are exact, and
-    neither forms (question, document) pairs.
+    An equi-join on the word, added up per (question, document): partial sums are made where the join's rows
+    are, the best document of each question is a second aggregate, and ties go to the smallest id. A word that
+    many documents hold makes the join's partition large, which adaptive execution splits. Keys are unique.
     """
     asked = _word_table(questions, question_key, question_text, "question")
     library = _word_table(documents, document_key, document_text, "document")
-    library = library.filter(F.size("words") > 0)
-    size = library.agg(F.sum(F.size("words")).alias("postings")).first()["postings"] or 0
-    schema = f"question {asked.schema['question'].dataType.simpleString()}, " \
-             f"document {library.schema['document'].dataType.simpleString()}, score bigint"
-    if size <= max_postings:
-        return _match_shipped(asked, library, schema)
-    return _match_blocks(asked, library, schema, math.ceil(2 * size / max_postings))
-
-
-def _matches(index: WordIndex, frame: pd.DataFrame) -> pd.DataFrame:
-    found = [index.best(words) for words in frame["words"]]
-    return pd.DataFrame(
-        {
-            "question": frame["question"],
-            "document": pd.Series([f[0] for f in found], index=frame.index, dtype=object),
-            "score": [f[1] for f in found],
-        }
-    )
-
-
-def _match_shipped(asked: DataFrame, library: DataFrame, schema: str) -> DataFrame:
-    rows = library.collect()  # at most max_postings rows and words, measured above
-    shipped = asked.sparkSession.sparkContext.broadcast(
-        ([r["document"] for r in rows], [r["words"] for r in rows])
+    pairs = asked.select("question", F.explode("words").alias("word")).join(
+        library.select("document", F.explode("words").alias("word")), "word"
     )
-
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = WordIndex(*shipped.value)
-        for frame in batches:
-            yield _matches(index, frame)
-
-    return asked.mapInPandas(match, schema)
-
-
-def _match_blocks(asked: DataFrame, library: DataFrame, schema: str, blocks: int) -> DataFrame:
-    """Questions, in chunks, meet every block of the library; keys are unique, so none is hot."""
-    chunks = max(1, asked.rdd.getNumPartitions())
-
-    def spread(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own))).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)).cast("array<bigint>"))
-        )
-
-    asked = spread(asked, "question", "chunk", chunks, "block", blocks)
-    library = spread(library, "document", "block", blocks, "chunk", chunks)
-
-    def match(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        index = WordIndex(list(right["document"]), list(right["words"]))
-        return _matches(index, left)
-
-    winners = (
-        asked.groupBy("block", "chunk")
-        .cogroup(library.groupBy("block", "chunk"))
-        .applyInPandas(match, schema)
+    scores = pairs.groupBy("question", "document").agg(F.count(F.lit(1)).alias("score"))
+    best = scores.groupBy("question").agg(
+        F.min(F.struct((-F.col("score")).alias("less"), "document")).alias("best")
     )
-    best = F.min_by("document", F.struct(-F.col("score"), F.col("document")))
-    return winners.groupBy("question").agg(
-        best.alias("document"), F.max("score").alias("score")
+    found = best.select("question", "best.document", (-F.col("best.less")).alias("score"))
+    keys = questions.select(F.col(question_key).alias("question"))
+    return keys.join(found, "question", "left").select(
+        "question", "document", F.coalesce("score", F.lit(0)).alias("score")
     )

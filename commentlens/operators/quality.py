@@ -6,7 +6,7 @@ on the map side before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commentlens import rules
@@ -73,17 +73,27 @@ def _slim(df: DataFrame, order: str, action: str) -> DataFrame:
 
 
 def _distinct_texts(slim: DataFrame) -> DataFrame:
-    """One row per text with the label of its first occurrence; one more for the other rows."""
-    return slim.groupBy("text_key").agg(
+    """One row per text with the label of its first occurrence; one more for the other rows.
+
+    The label is carried as its number, so that the aggregate's buffer has a fixed width and stays a hash aggregate.
+    """
+    found = slim.groupBy("text_key").agg(
         F.sum("n").alias("n"),
         F.sum("invalid").alias("invalid"),
         F.sum("blank").alias("blank"),
         F.count("*").alias("pairs"),
-        F.min_by("label", "first").alias("label"),
+        F.min(F.struct("first", _label_number("label").alias("number"))).alias("first"),
         F.max("emptied").alias("emptied"),
         F.max("chars").alias("chars"),
         F.max("words").alias("words"),
     )
+    return found.withColumn("label", F.get(F.array(*[F.lit(x) for x in rules.LABELS]), F.col("first.number")))
+
+
+def _label_number(label: str) -> Column:
+    """Place in the label list; NULL for other labels, which no report tells apart here."""
+    place = F.array_position(F.array(*[F.lit(x) for x in rules.LABELS]), F.col(label))
+    return F.nullif(place, F.lit(0)).cast("int") - 1
 
 
 def dup_counts(df: DataFrame, order: str) -> DataFrame:
@@ -274,3 +284,14 @@ def stage_status(spark: SparkSession, stages: dict[str, DataFrame | None]) -> Da
             one = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("stage"), "rows")
         counts = one if counts is None else counts.unionByName(one)
     return counts
+
+
+def pipeline_status(spark: SparkSession, stages: dict[str, DataFrame | None], report: dict | None) -> DataFrame:
+    """:func:`stage_status`, and a row for the model with its name and accuracy, NULL when none was trained."""
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in (("model", "string"), ("accuracy", "double"))]
+    found = report or {}
+    model = spark.createDataFrame(
+        [("model", None, found.get("model_type"), found.get("accuracy"))],
+        "stage string, rows bigint, model string, accuracy double",
+    )
+    return stage_status(spark, stages).select("*", *none).unionByName(model)

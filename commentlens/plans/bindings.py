@@ -10,19 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-TEXT_TABLES = {"documents", "pages", "conversations"}
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A test table. Texts that lie in fewer splits than there are cores are spread over them.
-
-    The test files have one split each; a table of many files is read as it lies.
-    """
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in TEXT_TABLES and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    """A test table, read as it lies."""
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 LABEL = "CASE WHEN toxic = 1 THEN 'Negative' WHEN quality = 1 THEN 'Positive' ELSE 'Neutral' END"

@@ -326,8 +326,8 @@ def label_backlog(spark, sf):
     documents = b.table(spark, sf, "documents")
     folder = work_folder(spark, "labelling")
     half = documents.count() // 2
-    labeling.label_backlog(documents, "doc_id", "text", keyword_labeler, folder, limit=half)
-    labeling.label_backlog(documents, "doc_id", "text", keyword_labeler, folder, waves=2)
+    labeling.label_backlog(documents, "doc_id", "text", keyword_labeler, folder, save_every=half, limit=half)
+    labeling.label_backlog(documents, "doc_id", "text", keyword_labeler, folder, save_every=max(1, half // 2))
     return spark.read.parquet(f"{folder}/labelled.parquet").select("doc_id", "label")
 
 

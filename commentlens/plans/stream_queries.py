@@ -32,13 +32,18 @@ CUT = "timestamp_ntz'2024-01-15 12:00:00'"
 
 @query("stream_ingest_dedup", "SELECT event_id, event_type, value FROM events")
 def stream_ingest_dedup(spark, sf):
-    """Two reads of the events: the second repeats the last six hours of the first."""
+    """Three reads of the events: the second repeats the last six hours of the first, the third is two days late."""
     events = b.table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
-    parts = [events.filter(f"ts < {CUT}"), events.filter(f"ts >= {CUT} - INTERVAL 6 HOURS")]
+    late = f"ts < {CUT} - INTERVAL 2 DAYS AND event_id % 50 = 7"
+    parts = [
+        events.filter(f"ts < {CUT} AND NOT ({late})"),
+        events.filter(f"ts >= {CUT} - INTERVAL 6 HOURS"),
+        events.filter(late),
+    ]
     out = _arrivals(
         spark, parts, lambda s, o, c: jobs.stream_ingest_dedup(s, "event_id", "ts", o, c)
     )
-    return spark.read.parquet(out).select("event_id", "event_type", "value")
+    return spark.read.parquet(f"{out}.parquet").select("event_id", "event_type", "value")
 
 
 @query(
@@ -68,7 +73,7 @@ def stream_trend(spark, sf):
         _halves(orders, "o_orderkey"),
         lambda s, o, c: jobs.stream_trend(s, "o_orderdate", "o_orderstatus", o, c),
     )
-    return spark.read.parquet(out).select("month", "label", "n")
+    return jobs.latest(spark, out).select("month", "label", "n")
 
 
 @query(

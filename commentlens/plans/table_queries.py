@@ -25,7 +25,7 @@ def read_comments(spark, sf):
     path = work_folder(spark, "messy") + ".csv"
     stripped = b.messy(spark, sf).withColumn("label", text.strip("label"))
     writers.write_table(stripped, path)
-    rows = readers.read_comments(spark, path, "doc_id bigint, comment string, label string")
+    rows = readers.read_comments(spark, path, "doc_id bigint, comment string, label string", multiline=True)
     return rows.select("doc_id", "comment", "label")
 
 
@@ -47,7 +47,7 @@ def load_valid_texts(spark, sf):
 def load_prior_output(spark, sf):
     path = work_folder(spark, "labelled") + ".csv"
     writers.write_table(b.labelled(spark, sf).select("comment", "label"), path)
-    earlier = readers.load_prior_output(spark, path)
+    earlier = readers.load_prior_output(spark, path, multiline=True)
     return earlier.unionByName(readers.load_prior_output(spark, path + ".missing.csv"))
 
 
@@ -66,13 +66,23 @@ UNION ALL SELECT doc_id, 1, source, 4 FROM documents WHERE doc_id % 6 = 4
 UNION ALL SELECT doc_id, 0, source, 5 FROM documents WHERE doc_id % 6 = 5"""
 
 
+# Broken payloads beside the table's: text behind a value, lines of an indented list, no value at all.
+BROKEN = ['{"text": "x"} {"text": "y"}', '"id": "a",', '{', '["text"],', '1, 2', '[1], [2', '']
+
+
+def _with_broken(spark, sf):
+    rows = [(-1 - i, p) for i, p in enumerate(BROKEN)] + [(-100, '[{"text": " kept "}]')]
+    return b.payloads(spark, sf).unionByName(spark.createDataFrame(rows, "doc_id bigint, payload string"))
+
+
 @query(
     "json_records",
     f"""SELECT doc_id, CAST(record_pos AS BIGINT) AS record_pos, shape = 4 AND record_pos = 0 AS is_string,
-        CASE WHEN shape IN (0, 3) THEN doc_id END AS id FROM ({RECORDS_SQL}) r""",
+        CASE WHEN shape IN (0, 3) THEN doc_id END AS id FROM ({RECORDS_SQL}) r
+        UNION ALL SELECT -1 - unnest(range({len(BROKEN)})), 0, NULL, NULL UNION ALL SELECT -100, 0, false, NULL""",
 )
 def json_records(spark, sf):
-    records = envelopes.json_records(b.payloads(spark, sf), "payload")
+    records = envelopes.json_records(_with_broken(spark, sf), "payload")
     return records.select(
         "doc_id",
         F.col("record_pos").cast("bigint").alias("record_pos"),
@@ -84,10 +94,10 @@ def json_records(spark, sf):
 @query(
     "json_text",
     f"""SELECT doc_id, CAST(record_pos AS BIGINT) AS record_pos, {b.sql_strip('content')} AS comment
-        FROM ({RECORDS_SQL}) r WHERE {b.sql_strip('content')} <> ''""",
+        FROM ({RECORDS_SQL}) r WHERE {b.sql_strip('content')} <> '' UNION ALL SELECT -100, 0, 'kept'""",
 )
 def json_text(spark, sf):
-    records = envelopes.json_records(b.payloads(spark, sf), "payload")
+    records = envelopes.json_records(_with_broken(spark, sf), "payload")
     found = records.select(
         "doc_id", F.col("record_pos").cast("bigint").alias("record_pos"), envelopes.json_text("record").alias("comment")
     )
@@ -435,6 +445,23 @@ def first_samples(spark, sf):
     return quality.first_samples(b.raw_records(spark, sf), "ord")
 
 
+@query(
+    "pipeline_status",
+    f"""WITH {cleaned_sql('remove')}
+        SELECT 'raw' AS stage, (SELECT count(*) FROM documents) AS "rows", NULL::VARCHAR AS model, NULL::DOUBLE AS accuracy UNION ALL
+        SELECT 'labeled', (SELECT count(*) FROM labels), NULL, NULL UNION ALL
+        SELECT 'cleaned', (SELECT count(*) FROM clean), NULL, NULL UNION ALL SELECT 'scored', NULL, NULL, NULL UNION ALL
+        SELECT 'model', NULL, 'always positive', round((SELECT avg((label = 'Positive')::INTEGER) FROM ({b.LABELLED}) l), 4)""",
+)
+def pipeline_status(spark, sf):
+    """The model stage names its model and how well it does; here one that has a single answer."""
+    answers = b.labelled(spark, sf).withColumn("predicted", F.lit("Positive"))
+    report = {"model_type": "always positive", "accuracy": metrics.classification_metrics(answers).first()["accuracy"]}
+    cleaned = curate.validate_and_clean(b.messy(spark, sf), "doc_id")
+    stages = {"raw": b.table(spark, sf, "documents"), "labeled": b.table(spark, sf, "labels"), "cleaned": cleaned, "scored": None}
+    return quality.pipeline_status(spark, stages, report)
+
+
 @query(
     "stage_status",
     f"""WITH {cleaned_sql('remove')}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,18 +36,20 @@ def local_session(cores: int | str = 8, **conf: str) -> SparkSession:
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh path below the folder the session names in ``spark.checkpoint.dir``.
+    """A fresh path below the folder the session names in ``spark.checkpoint.dir``; gone when the session's JVM ends.
 
-    Only a local master may go without that setting; a cluster must name a folder every executor
-    can reach.
+    Without that setting a local master uses its warehouse folder; a cluster must name a folder that every
+    executor can reach.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="commentlens-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def written(df: DataFrame, purpose: str, even: bool = False) -> DataFrame:

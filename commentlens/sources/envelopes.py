@@ -45,14 +45,34 @@ def _open_fully(payloads: pd.Series) -> pd.Series:
     return payloads.map(records, na_action="ignore")
 
 
+END = "␃"  # stands behind a payload while it is parsed
+
+
+def whole_json(payload: Column) -> Column:
+    """The JSON value that takes up the whole payload, as VARIANT; NULL if there is none.
+
+    Spark's parser stops after the first value. So the payload is parsed as the first of two items, of
+    which the second is a marker: text behind the value breaks the list or changes its length.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), payload, F.lit(f',"{END}"]')))
+    marked = F.try_variant_get(listed, "$[1]", "string") == END
+    alone = F.try_variant_get(listed, "$[2]", "variant").isNull()
+    return F.when(marked & alone, F.try_variant_get(listed, "$[0]", "variant"))
+
+
+def malformed_payloads(df: DataFrame, payload: str) -> DataFrame:
+    """The rows whose payload is not one whole JSON value. A NULL payload is none either."""
+    return df.filter(whole_json(F.col(payload)).isNull())
+
+
 def json_records(df: DataFrame, payload: str) -> DataFrame:
     """One row per record of each payload, in order, as ``record`` (VARIANT) and ``record_pos``.
 
     A payload may be a list, an object with a list under ``data`` or else ``comments``, any nesting
     of these, or a single record. Records are numbered within their payload. Payloads that are no
-    JSON give one row with a NULL record, so that they can be counted.
+    JSON, or go on behind it, give one row with a NULL record, so that they can be counted.
     """
-    df = df.withColumn("_payload", F.try_parse_json(F.col(payload)))
+    df = df.withColumn("_payload", whole_json(F.col(payload)))
     items = _open("_payload")
     for _ in range(LEVELS - 1):
         items = f"flatten(transform({items}, item -> {_open('item')}))"
@@ -62,7 +82,7 @@ def json_records(df: DataFrame, payload: str) -> DataFrame:
         " try_variant_get(item, '$.data', 'array<variant>'),"
         " try_variant_get(item, '$.comments', 'array<variant>')) is not null)"
     )
-    deep = _open_fully(F.when(nested, F.col(payload)))
+    deep = _open_fully(F.when(nested & F.col("_payload").isNotNull(), F.col(payload)))
     df = df.withColumn("_deep", deep)
     records = F.when(
         F.col("_deep").isNotNull(), F.transform("_deep", lambda item: F.parse_json(item))

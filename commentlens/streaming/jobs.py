@@ -6,7 +6,7 @@ Each job reads what has arrived, and stops (``availableNow``); run again it take
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +16,9 @@ from commentlens.operators.scoring import predict_batch
 from commentlens.sources.readers import load_prior_output
 
 
+BUCKETS = 64  # folders that seen ids and labelled rows are dealt over, by the hash of their key
+
+
 def arriving(
     spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None
 ) -> DataFrame:
@@ -35,12 +38,42 @@ def _run(writer, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def stream_ingest_dedup(
-    stream: DataFrame, key: str, time: str, out: str, checkpoint: str, hours: int = rules.OVERLAP_HOURS
-) -> None:
-    """First sighting of each id, where overlapping reads repeat it within ``hours``."""
-    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, f"{hours} hours")
-    _run(timed.dropDuplicatesWithinWatermark([key]).writeStream.format("parquet").option("path", out), checkpoint)
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def _earlier(spark: SparkSession, path: str, schema: str, batch: DataFrame, number: int) -> DataFrame:
+    """What other batches wrote to the buckets that this batch's rows fall into."""
+    met = [r["bucket"] for r in batch.select("bucket").distinct().collect()]  # at most BUCKETS
+    known = load_prior_output(spark, path, f"{schema}, bucket int, batch bigint")
+    return known.filter(F.col("bucket").isin(met) & (F.col("batch") != number))
+
+
+def stream_ingest_dedup(stream: DataFrame, key: str, time: str, out: str, checkpoint: str) -> None:
+    """First sighting of each id, however late a repetition or a new id arrives.
+
+    The ids seen are the output itself, dealt by hash over bucket folders; a batch reads the buckets it needs.
+    Within a batch the earliest row by ``time`` stays. A replayed batch replaces what it wrote.
+    """
+    spark = stream.sparkSession
+    kind = stream.schema[key].dataType.simpleString()
+
+    def step(batch: DataFrame, number: int) -> None:
+        known = batch.filter(F.col(key).isNotNull())
+        columns = F.struct(F.col(time), *[c for c in batch.columns if c != time])
+        firsts = known.groupBy(key).agg(F.min(columns).alias("_row")).select("_row.*").withColumn("bucket", _bucket(key))
+        seen = _earlier(spark, f"{out}.parquet", f"{key} {kind}", firsts, number)
+        fresh = firsts.join(seen.select(key), key, "left_anti")
+        fresh = fresh.select(*batch.columns, F.lit(number).cast("bigint").alias("batch"), "bucket")
+        _replace(fresh, f"{out}.parquet", number)
+
+    _run(stream.writeStream.foreachBatch(step), checkpoint)
+
+
+def _replace(rows: DataFrame, path: str, number: int) -> None:
+    """Write a batch's rows by bucket; a batch that is written again replaces its own folders only."""
+    writer = rows.withColumn("batch", F.lit(number).cast("bigint")).repartition("bucket").write
+    writer.partitionBy("bucket", "batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
 def stream_score(
@@ -52,24 +85,52 @@ def stream_score(
 
 
 def stream_trend(stream: DataFrame, time: str, label: str, out: str, checkpoint: str) -> None:
-    """Counts per calendar month and label, kept complete; the state is one row per month and label."""
-    month = F.date_trunc("month", F.col(time).cast("timestamp")).cast("date")
+    """Counts per calendar month (UTC) and label, kept complete; the state is one row per month and label.
+
+    Each batch writes a folder of its own and then an empty one that says it is whole; :func:`latest` reads the newest
+    whole one. So readers always find a result, also while the next one is written or after a crash.
+    """
+    month = F.date_trunc("month", _utc(stream, time)).cast("date")
     counts = stream.select(month.alias("month"), F.col(label).alias("label")).groupBy("month", "label")
 
-    def replace(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    def add(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/{number:012d}")
 
     writer = counts.agg(F.count("*").alias("n")).writeStream.outputMode("complete")
-    _run(writer.foreachBatch(replace), checkpoint)
+    _run(writer.foreachBatch(add), checkpoint)
+
+
+def latest(spark: SparkSession, out: str) -> DataFrame:
+    """The newest whole result of a job that writes one folder per batch."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/*/_SUCCESS")
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop) or []
+    if not len(found):
+        raise FileNotFoundError(f"no result below {out} yet")
+    return spark.read.parquet(max(s.getPath().getParent().toString() for s in found))
+
+
+def _utc(stream: DataFrame, time: str) -> Column:
+    """The wall clock in UTC. Timestamps without a zone are taken as UTC, whatever the session's zone."""
+    if isinstance(stream.schema[time].dataType, T.TimestampType):
+        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(time).cast("timestamp_ntz"))
+    return F.col(time).cast("timestamp_ntz")
 
 
 def stream_daily_trend(
     stream: DataFrame, time: str, label: str, out: str, checkpoint: str, hours: int = rules.OVERLAP_HOURS
 ) -> None:
-    """Counts per day and label, each day written once it is closed; later rows are not counted."""
-    timed = stream.withColumn("_t", F.col(time).cast("timestamp")).withWatermark("_t", f"{hours} hours")
+    """Counts per day (UTC) and label, each day written once it is closed; later rows are not counted.
+
+    Windows start at UTC midnight; their start is read as seconds, so the session's zone has no say.
+    """
+    moment = F.col(time)
+    if not isinstance(stream.schema[time].dataType, T.TimestampType):
+        # The cast reads the clock in the session's zone; the UTC clock is what is meant.
+        moment = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(time).cast("timestamp_ntz")).cast("timestamp")
+    timed = stream.withColumn("_t", moment).withWatermark("_t", f"{hours} hours")
     counts = timed.groupBy(F.window("_t", "1 day"), F.col(label).alias("label")).agg(F.count("*").alias("n"))
-    days = counts.select(F.col("window.start").cast("date").alias("day"), "label", "n")
+    day = F.date_from_unix_date((F.unix_seconds("window.start") / 86400).cast("int"))
+    days = counts.select(day.alias("day"), "label", "n")
     _run(days.writeStream.format("parquet").option("path", out), checkpoint)
 
 
@@ -79,21 +140,20 @@ def stream_label_resume(
     """Label arriving comments once each.
 
     Every micro-batch writes folders of its own, so replaying one after a failure replaces its
-    output instead of repeating it; rows that earlier batches hold are skipped.
+    output instead of repeating it; rows that earlier batches hold are skipped. Output is dealt by hash over
+    bucket folders, and a batch reads only those that its own keys fall into.
     """
     spark = stream.sparkSession
     kind = stream.schema[key].dataType.simpleString()
 
     def step(batch: DataFrame, number: int) -> None:
-        earlier = [
-            load_prior_output(
-                spark, f"{folder}/{name}.parquet", f"{key} {kind}, text_sha string, batch bigint"
-            ).filter(F.col("batch") != number).select(key, "text_sha")
-            for name in ("labelled", "failed")
-        ]
-        rows = hashed(batch, key, text).dropDuplicates([key, "text_sha"])
-        pending = resume_anti_join(rows, earlier[0].unionByName(earlier[1]), key)
+        rows = hashed(batch, key, text).dropDuplicates([key, "text_sha"]).withColumn("bucket", _bucket(key))
+        done = None
+        for name in ("labelled", "failed"):
+            part = _earlier(spark, f"{folder}/{name}.parquet", f"{key} {kind}, text_sha string", rows, number)
+            done = part if done is None else done.unionByName(part)
+        pending = resume_anti_join(rows, done, key)
         for name, part in zip(("labelled", "failed"), label_batch(pending, key, labeler)):
-            part.write.mode("overwrite").parquet(f"{folder}/{name}.parquet/batch={number}")
+            _replace(part.withColumn("bucket", _bucket(key)), f"{folder}/{name}.parquet", number)
 
     _run(stream.writeStream.foreachBatch(step), checkpoint)

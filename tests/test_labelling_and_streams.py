@@ -39,12 +39,14 @@ def test_resume(spark):
 
     labeling.label_backlog(df, "id", "t", labeler, folder, limit=3)
     assert state() == [[1, 2], [3]]
-    labeling.label_backlog(df, "id", "t", labeler, folder, waves=3)
+    labeling.label_backlog(df, "id", "t", labeler, folder, save_every=1)
     assert state() == [[1, 2, 5], [3, 4]]
     labeling.label_backlog(df, "id", "t", labeler, folder)
     assert state() == [[1, 2, 5], [3, 4]]
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="no longer matches"):
         labeling.label_backlog(texts(spark, [(1, "another text")]), "id", "t", labeler, folder)
+    with pytest.raises(ValueError, match="lacks rows"):
+        labeling.label_backlog(texts(spark, ROWS[:2]), "id", "t", labeler, folder)
 
 
 def test_stream_equals_batch(spark):
@@ -56,7 +58,7 @@ def test_stream_equals_batch(spark):
 
     def run():
         jobs.stream_trend(jobs.arriving(spark, folder, rows.schema), "ts", "label", out, check)
-        return sorted(tuple(r) for r in spark.read.parquet(out).select("month", "label", "n").collect())
+        return sorted(tuple(r) for r in jobs.latest(spark, out).select("month", "label", "n").collect())
 
     def batch(df):
         month = F.trunc(F.col("ts").cast("date"), "month").alias("month")
@@ -75,7 +77,32 @@ def test_stream_dedup_over_runs(spark):
     more = spark.range(40, 70).selectExpr("id", "timestamp_seconds(1704067200 + id * 60) AS ts")
     more.coalesce(1).write.mode("append").parquet(folder)
     jobs.stream_ingest_dedup(jobs.arriving(spark, folder, rows.schema), "id", "ts", out, check)
-    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(70))
+    # Ten hours behind the newest row: a new id and a repeated one.
+    late = spark.range(69, 71).selectExpr("id", "timestamp_seconds(1704067200 - 36000 + id * 60) AS ts")
+    late.coalesce(1).write.mode("append").parquet(folder)
+    jobs.stream_ingest_dedup(jobs.arriving(spark, folder, rows.schema), "id", "ts", out, check)
+    assert sorted(r["id"] for r in spark.read.parquet(f"{out}.parquet").collect()) == list(range(71))
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_days_and_months_are_utc(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for cast in ("timestamp", "timestamp_ntz"):
+            clock = "timestamp_seconds(1706745600 + id * 3600)"  # from 2024-02-01 00:00 UTC on
+            if cast == "timestamp_ntz":
+                clock = f"convert_timezone(current_timezone(), 'UTC', CAST({clock} AS timestamp_ntz))"
+            rows = spark.range(72).selectExpr(f"{clock} AS ts", "'a' AS label")
+            folder, out, check = (work_folder(spark, n) for n in ("in", "out", "check"))
+            rows.coalesce(1).write.parquet(folder)
+            jobs.stream_trend(jobs.arriving(spark, folder, rows.schema), "ts", "label", out, check)
+            assert [str(r["month"]) for r in jobs.latest(spark, out).collect()] == ["2024-02-01"]
+            jobs.stream_daily_trend(jobs.arriving(spark, folder, rows.schema), "ts", "label", out + "d", check + "d")
+            days = sorted((str(r["day"]), r["n"]) for r in spark.read.parquet(out + "d").collect())
+            assert days == [("2024-02-01", 24), ("2024-02-02", 24)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_replayed_batch_replaces_its_output(spark):

@@ -33,10 +33,10 @@ def test_payload_shapes(spark):
 def test_csv_without_known_columns(spark, tmp_path):
     path = tmp_path / "in.csv"
     path.write_text('﻿Body,Class\n"two\nlines, ""quoted""",Positive\nNA,Neutral\n"  ",Negative\n', encoding="utf-8")
-    df = readers.resolve_columns(readers.read_comments(spark, str(path)))
+    df = readers.resolve_columns(readers.read_comments(spark, str(path), multiline=True))
     rows = [tuple(r) for r in df.select("comment", "label").collect()]
     assert rows == [('two\nlines, "quoted"', "Positive"), (None, "Neutral"), ("  ", "Negative")]
-    assert [r[0] for r in readers.load_valid_texts(spark, str(path)).collect()] == ['two\nlines, "quoted"', "NA"]
+    assert [r[0] for r in readers.load_valid_texts(spark, str(path), multiline=True).collect()] == ['two\nlines, "quoted"', "NA"]
     with pytest.raises(ValueError):
         readers.load_valid_texts(spark, str(path), "missing")
     with pytest.raises(ValueError):
@@ -51,6 +51,26 @@ def test_json_files_in_one_piece(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("a", None), ("b", "y")]
 
 
+def test_indented_and_broken_json(spark, tmp_path):
+    path = tmp_path / "list.json"
+    path.write_text(json.dumps([{"id": "a", "attributes": {"comment": " x "}}, {"id": "b", "text": "y"}], indent=2))
+    assert [r[0] for r in readers.load_valid_texts(spark, str(path)).collect()] == ["x", "y"]
+    with pytest.raises(Exception, match="malformed JSON payload"):
+        readers.load_valid_texts(spark, str(path), whole_files=False).collect()
+    lines = tmp_path / "lines.json"
+    lines.write_text('{"text": "a"}\n{"text": "b"} trailing\n"c"\n')
+    with pytest.raises(Exception, match="malformed JSON payload"):
+        readers.load_valid_texts(spark, str(lines)).collect()
+    assert [r[0] for r in readers.load_valid_texts(spark, str(lines), skip_malformed=True).collect()] == ["a", "c"]
+    assert envelopes.malformed_payloads(spark.read.text(str(lines)), "value").count() == 1
+
+
+def test_two_columns_for_one_alias(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "`text` int, ` TEXT ` int, label int")
+    with pytest.raises(ValueError, match="all stand for 'text'"):
+        readers.resolve_columns(df)
+
+
 def test_column_resolution(spark):
     df = spark.createDataFrame([(1, 2, 3)], "`Content` int, ` TEXT ` int, Sentiment int")
     assert readers.resolve_columns(df).columns == ["Content", "comment", "label"]
@@ -85,7 +105,7 @@ def test_writers(spark, tmp_path):
     with pytest.raises(ValueError):
         writers.write_table(df, str(tmp_path / "x.xml"))
     writers.write_table(df, str(tmp_path / "x.csv"))
-    assert readers.read_comments(spark, str(tmp_path / "x.csv")).orderBy("id").first()["comment"] == " a\n\"b\" "
+    assert readers.read_comments(spark, str(tmp_path / "x.csv"), multiline=True).orderBy("id").first()["comment"] == " a\n\"b\" "
     writers.write_splits(df, str(tmp_path / "splits"))
     assert not (tmp_path / "splits" / "split=val").exists()
     assert spark.read.parquet(str(tmp_path / "splits")).count() == 2

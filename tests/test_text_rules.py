@@ -82,3 +82,29 @@ def test_find_date_column(spark):
     assert dates.find_date_column(frame.select(F.col("date").alias("other"))) is None
     dotted = frame.select(F.col("Posted_Date").alias("attributes.postedDate"))
     assert dates.find_date_column(dotted) == "attributes.postedDate"
+
+
+@pytest.mark.parametrize(
+    "text,moment",
+    [
+        ("2024-01-31", "2024-01-31 00:00:00"),
+        ("2024-01-31T05:06:07", "2024-01-31 05:06:07"),
+        ("01/02/2024", "2024-01-02 00:00:00"),
+        ("31/01/2024", "2024-01-31 00:00:00"),
+        ("1/31/2024 5:30 PM", "2024-01-31 17:30:00"),
+        ("31.01.2024 05:30", "2024-01-31 05:30:00"),
+        ("Jan 5, 2024", "2024-01-05 00:00:00"),
+        ("January 5th 2024 12:15 am", "2024-01-05 00:15:00"),
+        ("5 March 2024", "2024-03-05 00:00:00"),
+        ("2024/1/5", "2024-01-05 00:00:00"),
+        ("20240105", "2024-01-05 00:00:00"),
+        ("Feb 30, 2024", None),
+        ("13/13/2024", None),
+        ("soon", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_lenient_dates(spark, text, moment):
+    df = spark.createDataFrame([(text,)], "d string")
+    assert df.select(dates.lenient_timestamp("d").cast("string")).first()[0] == moment
