@@ -40,10 +40,14 @@ HEADLINE = [
     "tfidf_weights",
     "train_multinomial_nb",
     "train_logreg",
+    "train_linear_svm",
+    "compare_models",
     "predict_batch",
     "label_batch",
+    "label_backlog",
     "stream_ingest_dedup",
     "stream_trend",
+    "stream_label_resume",
 ]
 WARM_UP = ["clean_html_text", "topk_words"]
 

@@ -392,19 +392,22 @@ class Selection:
 
 
 def select_refit_test(
-    df: DataFrame, key: str, candidates: list[Candidate] | None = None, tune: bool = True
+    df: DataFrame, key: str, candidates: list[Candidate] | None = None, tune: bool = True, params: dict | None = None
 ) -> Selection:
-    """Split, tune, compare, choose, refit on train and validation, test once."""
+    """Split, tune, compare, choose, refit on train and validation, test once.
+
+    ``params``: what a grid search on the training part of the same rows has found earlier.
+    """
     df = drop_unusable(df)
     min_rows_guard(df)
     df, info = stratified_split(df, key)
     df = written(df.select(key, "comment", "label", "split"), "splits", even=True)
     train = union_splits(df, "train")
     validation = union_splits(df, "val") if info["val_size"] else None
-    params = {}
+    params = params or {}
     contenders = list(CANDIDATES if candidates is None else candidates)
     if tune:
-        params, _ = grid_search(train, key)
+        params = params or grid_search(train, key)[0]
         contenders.append(tuned(params))
     comparison = compare_models(train, validation, key, contenders)
     winner = rank_models(comparison).first()

@@ -189,8 +189,9 @@ def first_by(df: DataFrame, order: list[str], n: int) -> DataFrame:
 def review_sample(
     df: DataFrame, key: str, n: int = rules.REVIEW_ROWS, seed: int = rules.SEED
 ) -> DataFrame:
-    """``n`` rows drawn by seed, with an empty column for a human's label."""
-    return at_most(df, key, n, seed).withColumn("human_reviewed_label", F.lit(""))
+    """``n`` rows drawn by seed, in hash order, with an empty column for a human's label."""
+    drawn = at_most(df, key, n, seed).orderBy(hash_order(key, seed), key)
+    return drawn.withColumn("human_reviewed_label", F.lit(""))
 
 
 def random_comment(df: DataFrame, key: str, seed: int = rules.SEED) -> DataFrame:

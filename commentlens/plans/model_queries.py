@@ -166,11 +166,22 @@ def grid_features(spark, sf):
     return found
 
 
+_GRIDS: dict[tuple, tuple] = {}
+
+
+def _grid(spark, sf):
+    """Best parameters and all results of the default grid. Three queries need it, so a session searches once."""
+    place = (spark.sparkContext.applicationId, sf)
+    if place not in _GRIDS:
+        best, results = models.grid_search(sampling.union_splits(_split(spark, sf), "train"), "doc_id")
+        _GRIDS[place] = best, written(results, "grid")
+    return _GRIDS[place]
+
+
 @query("grid_search")
 def grid_search(spark, sf):
     """All combinations of the default grid."""
-    _, results = models.grid_search(sampling.union_splits(_split(spark, sf), "train"), "doc_id")
-    return results
+    return _grid(spark, sf)[1]
 
 
 def _compared(spark, sf):
@@ -199,7 +210,7 @@ def comparison_nb(spark, sf):
 @query("select_refit_test")
 def select_refit_test(spark, sf):
     """The whole run: the grid, four candidates, the refit and one test."""
-    chosen = models.select_refit_test(b.labelled(spark, sf), "doc_id")
+    chosen = models.select_refit_test(b.labelled(spark, sf), "doc_id", params=_grid(spark, sf)[0])
     return chosen.test_metrics.select(F.lit(chosen.name).alias("model"), *metrics.SCORES)
 
 
@@ -210,7 +221,7 @@ def select_refit_test(spark, sf):
 )
 def model_report(spark, sf):
     """The stored record of a whole run, read back; which candidate won is no matter for SQL."""
-    chosen = models.select_refit_test(b.labelled(spark, sf), "doc_id")
+    chosen = models.select_refit_test(b.labelled(spark, sf), "doc_id", params=_grid(spark, sf)[0])
     path = work_folder(spark, "report") + ".json"
     models.save_report(models.model_report(spark, chosen), path)
     compared = F.get_json_object("candidate_comparison_on_eval_split", "$[*].candidate")

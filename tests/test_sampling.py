@@ -1,5 +1,7 @@
 """Splits, folds and samples."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,3 +79,26 @@ def test_other_labels_are_left_out(spark):
     df = labelled(spark, (40, 30, 20)).withColumn("label", F.when(F.col("id") == 0, "Mixed").otherwise(F.col("label")))
     split, info = sampling.stratified_split(df, "id")
     assert split.count() == 89 == info["train_size"] + info["test_size"]
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 99, 100, 101, 500])
+def test_first_rows_by_a_cut(spark, n):
+    rows = [(i * 37 % 100 // 10, f"k{i * 37 % 100:03d}", i) for i in range(100)]
+    df = spark.createDataFrame(rows, "a int, b string, v int").repartition(5)
+    got = sorted(tuple(r) for r in sampling.first_by(df, ["a", "b"], n).collect())
+    assert got == sorted(rows)[:n]
+    plan = sampling.first_by(df, ["a", "b"], n)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan
+
+
+def test_nulls_come_first(spark):
+    df = spark.createDataFrame([(None, 1), (3, 2), (2, 3), (1, 4)], "k int, v int")
+    assert sorted(r["v"] for r in sampling.row_limit(df, "k", 2).collect()) == [1, 4]
+
+
+@pytest.mark.parametrize("n", [0, 3, 60, 61])
+def test_at_most_is_a_cut_in_hash_order(spark, n):
+    df = spark.range(60).withColumnRenamed("id", "k")
+    got = sorted(r["k"] for r in sampling.at_most(df, "k", n).collect())
+    order = sorted(range(60), key=lambda k: hashlib.md5(f"42:{k}".encode()).hexdigest())
+    assert got == sorted(order[:n])
