@@ -137,10 +137,11 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     r"""
 WITH split AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents),
+places AS (SELECT doc_id, x, n, unnest(range(0, greatest(n - 99, 0), 500)) AS c FROM split),
+chunks AS (SELECT doc_id, c, substr(x, 2 * c + 1, 1198) AS y, least(500, n - 99 - c) AS m FROM places),
 windows AS (
-  SELECT doc_id, unnest(range(0, greatest(n - 99, 0))) AS s,
-    unnest(list_transform(range(0, greatest(n - 99, 0)), lambda i: md5_number(substr(x, 2 * i + 1, 200)))) AS w
-  FROM split),
+  SELECT doc_id, c + unnest(range(0, m)) AS s, unnest(list_transform(range(0, m), lambda i: md5_number(substr(y, 2 * i + 1, 200)))) AS w
+  FROM chunks),
 later AS (SELECT doc_id, s FROM windows QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, s) > 1),
 reach AS (SELECT doc_id, s, max(s + 100) OVER (PARTITION BY doc_id ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS e FROM later),
 runs AS (SELECT doc_id, s, sum(CASE WHEN e >= s THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS r FROM reach),
