@@ -28,7 +28,7 @@ from commentlens.llm import anchors
 from commentlens.llm.common import byte_texts, ranges, text_slices
 
 SPAN = 20
-GRAM = 4
+GRAM = 8
 BLOCK = 1_000_000  # windows of a reference block
 
 
@@ -79,12 +79,12 @@ def _block_matches(held: list[tuple[np.ndarray, ...]], schema: pa.Schema) -> pa.
 def _lookups(batches: Iterable[pa.RecordBatch], span: int, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
-    for batch in text_slices(batches, 1, most=1_000_000):
-        batch = batch.filter(batch.column(2).is_valid())
+    for batch in text_slices(batches, 2, most=1_000_000):
+        batch = batch.filter(batch.column(3).is_valid())
         if not batch.num_rows:
             continue
-        values, counts = word_values(byte_texts(batch, 1))
-        doc, p, low, high = anchors.place_arrays(batch.column(2))
+        values, counts = word_values(byte_texts(batch, 2))
+        doc, p, low, high = anchors.place_arrays(batch.column(3))
         first = anchors.gram_hashes(values, span)
         second = anchors.gram_hashes(anchors.mix64(values ^ np.uint64(0x5851F42D4C957F2D)), span)
         many = high.astype(np.int64) - low + 1
@@ -157,7 +157,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", spa
     ordered = anchors.in_order(docs, key, text)
     places = anchors.shared_anchors(ordered, word_values, gram, span)
     match = to_arrow_schema(T.StructType.fromDDL(anchors.MATCH))
-    with_places = anchors.with_lists(ordered, places).select("ord", "text", "places")
+    with_places = anchors.with_lists(ordered, places).select("ord", "key", "text", "places")
     found = with_places.mapInArrow(lambda b: _lookups(b, span, match), anchors.MATCH)
     out = (
         f"key {docs.schema[key].dataType.simpleString()}, n_words long, n_removed long, kept_text string, "
