@@ -53,6 +53,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``size`` powers of an odd number modulo 2^64, and of its inverse."""
+    if len(_POWERS[0]) < size:
+        for i, base in enumerate((int(ODD), pow(int(ODD), -1, 2**64))):
+            _POWERS[i] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(2 * size, base, np.uint64)]))
+    return _POWERS[0][:size], _POWERS[1][:size]
+
+
 def gram_hashes(values: np.ndarray, k: int) -> np.ndarray:
     """A hash of each run of ``k`` values (uint64), by doubling; the last ``k - 1`` places are left out."""
     done, out, power, factor = 0, None, values, ODD
@@ -254,7 +265,11 @@ def spread(ord_: np.ndarray, start: np.ndarray) -> np.ndarray:
 
 
 def with_lists(ordered: DataFrame, lists: DataFrame) -> DataFrame:
-    """ord, key, text and the list of each document, NULL if it has none."""
+    """ord, key, text and the list of each document, NULL if it has none.
+
+    An operator joins twice, for its lookups and for its result. As both read the same columns, Spark shuffles
+    the texts once and uses them again.
+    """
     return ordered.join(lists, "ord", "left")
 
 
