@@ -198,7 +198,7 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text", carry: lis
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = model.value
-        for batch in text_slices(batches, 0, most=2_000_000):
+        for batch in text_slices(batches, 0, most=500_000):
             texts = byte_texts(batch, 0)
             bits = trees.lengths(texts)
             known = np.array(batch.column(1).to_pylist(), bool) & bool(trees.languages)
