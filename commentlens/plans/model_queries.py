@@ -166,7 +166,7 @@ def grid_features(spark, sf):
     return found
 
 
-_GRIDS: dict[tuple, tuple] = {}
+_GRIDS: dict = {}
 
 
 def _grid(spark, sf):
@@ -178,6 +178,14 @@ def _grid(spark, sf):
     return _GRIDS[place]
 
 
+def _selected(spark, sf):
+    """The whole run: the grid, four candidates, the refit and one test; once per session as well."""
+    place = (spark.sparkContext.applicationId, sf, "selection")
+    if place not in _GRIDS:
+        _GRIDS[place] = models.select_refit_test(b.labelled(spark, sf), "doc_id", params=_grid(spark, sf)[0])
+    return _GRIDS[place]
+
+
 @query("grid_search")
 def grid_search(spark, sf):
     """All combinations of the default grid."""
@@ -209,8 +217,7 @@ def comparison_nb(spark, sf):
 
 @query("select_refit_test")
 def select_refit_test(spark, sf):
-    """The whole run: the grid, four candidates, the refit and one test."""
-    chosen = models.select_refit_test(b.labelled(spark, sf), "doc_id", params=_grid(spark, sf)[0])
+    chosen = _selected(spark, sf)
     return chosen.test_metrics.select(F.lit(chosen.name).alias("model"), *metrics.SCORES)
 
 
@@ -221,7 +228,7 @@ def select_refit_test(spark, sf):
 )
 def model_report(spark, sf):
     """The stored record of a whole run, read back; which candidate won is no matter for SQL."""
-    chosen = models.select_refit_test(b.labelled(spark, sf), "doc_id", params=_grid(spark, sf)[0])
+    chosen = _selected(spark, sf)
     path = work_folder(spark, "report") + ".json"
     models.save_report(models.model_report(spark, chosen), path)
     compared = F.get_json_object("candidate_comparison_on_eval_split", "$[*].candidate")
