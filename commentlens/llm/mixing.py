@@ -6,8 +6,9 @@ hash of its key gives: so a rate of 1.4 repeats whole documents once or twice, w
 favour, and the same seed always gives the same mix. The copies are dealt to partitions by a second hash and
 sorted by it there, which is a global shuffle without a sampling pass.
 
-Only counts per source are gathered, with a partial sum in each task. Rates reach the rows by a join on the
-source that Spark may broadcast by its measured size or split where one source is hot.
+Only counts per source are gathered, with a partial sum in each task. The rates' size is measured: up to
+``BROADCAST`` bytes they are broadcast, so no text is shuffled for them; beyond that rows and rates meet by a shuffle on
+the source, salted so that a hot source is dealt over several tasks.
 """
 
 from __future__ import annotations
@@ -16,8 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commentlens.llm.common import free_name
+from commentlens.session import written
 
 MISSING = "\x00missing"  # stands for a NULL source in joins
+BROADCAST = 4_000_000  # bytes of source names and rates that may be sent to every task
+SALTS = 64
 
 
 def uniform(seed: str, *parts: Column) -> Column:
@@ -93,7 +97,7 @@ def mix(
     name, rate, copy = (free_name(n, [*docs.columns, "rate", "copy", "shuffle_key"]) for n in ("from_source", "mean", "nth"))
     rates = rates.select(F.col("source").alias(name), F.col("rate").alias(rate))
     ident = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    known = docs.withColumn(name, F.coalesce(F.col(source).cast("string"), F.lit(MISSING))).join(rates, name)
+    known = _with_rate(docs.withColumn(name, F.coalesce(F.col(source).cast("string"), F.lit(MISSING))), rates, name, ident)
     count = poisson_quantile(uniform(seed, ident), F.col(rate))
     copies = known.withColumn(copy, F.explode(_up_to(count)))
     results = {
@@ -106,5 +110,17 @@ def mix(
     return mixed.repartition(F.col("shuffle_key")).sortWithinPartitions("shuffle_key")
 
 
+def _with_rate(rows: DataFrame, rates: DataFrame, name: str, ident: Column) -> DataFrame:
+    """Each row with its source's rate."""
+    rates = written(rates, "rates")
+    size = rates.agg(F.sum(F.octet_length(name) + 16)).first()[0] or 0
+    if size <= BROADCAST:
+        return rows.join(F.broadcast(rates), name)
+    salt = free_name("salt", rows.columns)
+    dealt = rates.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn(salt, F.pmod(F.xxhash64(ident), F.lit(SALTS)).cast("int"))
+    return salted.join(dealt, [name, salt]).drop(salt)
+
+
 def _up_to(count: Column) -> Column:
     return F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
