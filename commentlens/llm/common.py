@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import sys
 import types
 from collections.abc import Iterable, Iterator
@@ -68,6 +69,12 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def plain(value: object) -> tuple:
+    """A dataclass as a tuple of its fields. A broadcast refers to classes by name, and an executor need not
+    hold this package; so values are sent as tuples and the class, which travels with the function, is filled again."""
+    return tuple(getattr(value, f.name) for f in dataclasses.fields(value))
+
+
 def worker_store(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, so that its next tasks find it again.
 

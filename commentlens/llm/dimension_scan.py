@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from commentlens.llm.common import plain
+
 SAMPLE = 20_000  # vectors that centroids, probes and first bounds are taken from
 LIST_SIZE = 800  # vectors per list aimed at ...
 MOST_LISTS = 4096  # ... with no more lists than this
@@ -163,7 +165,8 @@ def nearest(
     sample = names.select("v").sample(min(1.0, 1.2 * SAMPLE / total), seed=3).limit(SAMPLE).collect()
     if not sample:
         sample = names.select("v").limit(SAMPLE).collect()
-    index = spark.sparkContext.broadcast(train(np.array([r["v"] for r in sample], np.float64), total, k + 1, recall))
+    model = train(np.array([r["v"] for r in sample], np.float64), total, k + 1, recall)
+    index = spark.sparkContext.broadcast(plain(model))
 
     home_schema = T.StructType.fromDDL(f"name {kind}, list int, v array<double>, ids array<{kind}>")
     visit_schema = T.StructType.fromDDL(f"name {kind}, list int, v array<double>, bound float")
@@ -172,13 +175,13 @@ def nearest(
     def homes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                lists = index.value.lists(unit_vectors(_matrix(batch.column(1), np.float64)))
+                lists = Index(*index.value).lists(unit_vectors(_matrix(batch.column(1), np.float64)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(lists, pa.int32()), batch.column(1), batch.column(2)], schema=home_arrow
                 )
 
     def visits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = index.value
+        model = Index(*index.value)
         for whole in batches:
             for begin in range(0, whole.num_rows, 256):
                 batch = whole.slice(begin, 256)
@@ -221,7 +224,7 @@ def nearest(
     def search(here: pa.Table, asked: pa.Table) -> pa.Table:
         if not here.num_rows or not asked.num_rows:
             return result_arrow.empty_table()
-        rotation = index.value.rotation
+        rotation = Index(*index.value).rotation
         original, wanted = _matrix(here.column("v"), np.float64), _matrix(asked.column("v"), np.float64)
         turned, turned_queries = unit_vectors(original) @ rotation, unit_vectors(wanted) @ rotation
         edges = range(0, turned.shape[1], COLUMNS)

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commentlens.llm.common import byte_texts, text_slices
+from commentlens.llm.common import byte_texts, plain, text_slices
 from commentlens.session import written
 
 VOCABULARY = 131_072
@@ -236,10 +236,10 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Trained:
 
     share = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(ROUNDS))
     for turn in range(ROUNDS if top else 0):
-        sent = spark.sparkContext.broadcast(model)
+        sent = spark.sparkContext.broadcast(plain(model))
         slim = docs.filter(share == turn).select(F.col(text).cast("string").alias("text"))
         wide = len(model.bias)
-        steps = slim.mapInArrow(lambda b, sent=sent: _learned(b, sent.value, RATE), "part int, met binary, change binary")
+        steps = slim.mapInArrow(lambda b, sent=sent: _learned(b, Model(*sent.value), RATE), "part int, met binary, change binary")
         parts = steps.repartition("part").mapInArrow(lambda b, wide=wide: _averaged(b, wide), "part int, change binary").collect()
         weights = model.weights.copy()
         for row in parts:
@@ -288,12 +288,12 @@ def score(docs: DataFrame, trained: Trained, key: str = "doc_id", text: str = "t
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    sent = docs.sparkSession.sparkContext.broadcast(trained.model)
+    sent = docs.sparkSession.sparkContext.broadcast(plain(trained.model))
     schema = SCORED.format(kind=docs.schema[key].dataType.simpleString())
     arrow = to_arrow_schema(StructType.fromDDL(schema))
     scale = trained.tokens + trained.words + 1
     slim = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    rows = written(slim.mapInArrow(lambda b: _scored(b, sent.value, scale, arrow), schema), "scores")
+    rows = written(slim.mapInArrow(lambda b: _scored(b, Model(*sent.value), scale, arrow), schema), "scores")
 
     others = rows.select("row", F.explode("others").alias("word")).join(trained.counts, "word", "left")
     count = F.coalesce("n", F.lit(0))

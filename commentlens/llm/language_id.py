@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commentlens.llm.common import byte_texts, text_slices
+from commentlens.llm.common import byte_texts, plain, text_slices
 
 ORDER = 3
 ROWS_PER_LANGUAGE = 1000
@@ -188,7 +188,7 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text", carry: lis
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(trees)
+    model = spark.sparkContext.broadcast(plain(trees))
     body = F.col(text).cast("string")
     results = ("lang_pred", "score", "bits_per_byte")
     carried = F.struct(*(carry if carry is not None else [F.col(c) for c in docs.columns if c.lower() not in results]))
@@ -197,7 +197,7 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text", carry: lis
     arrow = to_arrow_schema(out)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = model.value
+        trees = ContextTrees(*model.value)
         for batch in text_slices(batches, 0, most=500_000):
             texts = byte_texts(batch, 0)
             bits = trees.lengths(texts)
