@@ -28,7 +28,9 @@ from commentlens.session import written
 BLOCK = 1_000_000  # anchors of a block
 ODD = np.uint64(0x9E3779B97F4A7C15)
 _POSITION = 31  # bits of a key that hold the place
-ENTRY = "anchor long, ord long, p int, low short, high short, shared boolean"
+ENTRY = "anchor long, ord long, place long"
+ALONE, SHARED, TOLD = range(3)  # kinds of entries
+OFFSETS = 1 << 12  # a window reaches less than this before its anchor
 
 
 def in_order(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -133,18 +135,12 @@ def _entries(
         shared[order] = known
         told = anchor[order][lead]
         alias = np.where(shared, mix64(ord_.view(np.uint64) * ODD + p.astype(np.uint64)), anchor)
-        n = len(told)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate([alias, told]).view(np.int64)),
-                pa.array(np.concatenate([ord_, np.zeros(n, np.int64)])),
-                pa.array(np.concatenate([p, np.full(n, -1)]).astype(np.int32)),
-                pa.array(np.concatenate([low, np.zeros(n, np.int64)]).astype(np.int16)),
-                pa.array(np.concatenate([high, np.zeros(n, np.int64)]).astype(np.int16)),
-                pa.array(np.concatenate([shared, np.zeros(n, bool)])),
-            ],
-            schema=schema,
+        columns = (
+            np.concatenate([alias, told]).view(np.int64),
+            np.concatenate([ord_, np.zeros(len(told), np.int64)]),
+            np.concatenate([packed(p, low, high, np.where(shared, SHARED, ALONE)), np.full(len(told), TOLD)]),
         )
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
 
     size = 0
     for batch in text_slices(batches, 1, most=500_000):
@@ -164,58 +160,74 @@ def _entries(
         yield block()
 
 
+def packed(p: np.ndarray, low: np.ndarray, high: np.ndarray, kind: np.ndarray | int) -> np.ndarray:
+    """Place, offsets and kind as one number."""
+    return (p.astype(np.int64) << 26) | (low.astype(np.int64) << 14) | (high.astype(np.int64) << 2) | kind
+
+
+def unpacked(place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Place, lowest and highest offset."""
+    return place >> 26, (place >> 14) & (OFFSETS - 1), (place >> 2) & (OFFSETS - 1)
+
+
 def _repeated(batches: Iterable[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     """Entries, sorted by anchor, that are shared or have a neighbour with the same anchor."""
-    held: pa.RecordBatch | None = None  # the last entry so far, whose right neighbour is not known yet
-    left = None  # the anchor before it
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        anchor = batch.column(0).to_numpy()
+
+    def kept(anchor: np.ndarray, ord_: np.ndarray, place: np.ndarray, left: int | None, most: int) -> pa.RecordBatch:
         same = anchor[1:] == anchor[:-1]
-        keep = batch.column(5).to_numpy(zero_copy_only=False).copy()
+        keep = (place & 3) == SHARED
         keep[1:] |= same
         keep[:-1] |= same
         if left is not None:
             keep[0] |= anchor[0] == left
-        keep &= batch.column(2).to_numpy() >= 0
-        most = batch.num_rows - 1
+        keep &= (place & 3) != TOLD
+        keep[most:] = False
+        return pa.RecordBatch.from_arrays([pa.array(ord_[keep]), pa.array(place[keep])], schema=schema)
+
+    held: tuple[np.ndarray, ...] | None = None  # the last entry so far, whose right neighbour is not known yet
+    left = None  # the anchor before it
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = tuple(c.to_numpy() for c in batch.columns)
+        if held is not None:
+            columns = tuple(np.concatenate(x) for x in zip(held, columns))
+        most = len(columns[0]) - 1
         if most:
-            left = anchor[-2]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(i).slice(0, most).filter(pa.array(keep[:-1])) for i in range(1, 5)], schema=schema
-            )
-        held = batch.slice(most)
+            yield kept(*columns, left, most)
+            left = int(columns[0][-2])
+        held = tuple(c[most:] for c in columns)
     if held is not None:
-        one = held.column(0).to_numpy()[0]
-        if held.column(2).to_numpy()[0] >= 0 and (held.column(5)[0].as_py() or (left is not None and one == left)):
-            yield pa.RecordBatch.from_arrays([held.column(i) for i in range(1, 5)], schema=schema)
+        yield kept(*held, left, 1)
 
 
 def shared_anchors(ordered: DataFrame, sequence: Sequencer, k: int, span: int) -> DataFrame:
-    """For each document with shared anchors: ord and ``places``, a list of (p, low, high), written.
+    """For each document with shared anchors: ord and ``places``, a list of packed (p, low, high), written.
 
     A window that starts ``o`` items before place ``p`` of its document, ``low <= o <= high``, has its anchor there.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    if span - k >= OFFSETS:
+        raise ValueError(f"span and k-gram may differ by less than {OFFSETS}")
     arrow = to_arrow_schema(T.StructType.fromDDL(ENTRY))
     found = ordered.select("ord", "text").mapInArrow(lambda b: _entries(b, sequence, k, span, arrow), ENTRY)
     dealt = found.repartition("anchor").sortWithinPartitions("anchor")
-    kept = "ord long, p int, low short, high short"
-    slim = to_arrow_schema(T.StructType.fromDDL(kept))
-    repeated = dealt.mapInArrow(lambda b: _repeated(b, slim), kept)
-    places = repeated.groupBy("ord").agg(F.collect_list(F.struct("p", "low", "high")).alias("places"))
-    return written(places, "anchors")
+    slim = to_arrow_schema(T.StructType.fromDDL("ord long, place long"))
+    repeated = dealt.mapInArrow(lambda b: _repeated(b, slim), "ord long, place long")
+    return written(repeated.groupBy("ord").agg(F.collect_list("place").alias("places")), "anchors")
+
+
+def places_of(column: pa.Array) -> tuple[np.ndarray, ...]:
+    """Row, place, lowest and highest offset of each entry of a list column of packed places."""
+    sizes = column.value_lengths().fill_null(0).to_numpy()
+    return np.repeat(np.arange(len(sizes)), sizes), *unpacked(column.flatten().to_numpy())
 
 
 def place_arrays(column: pa.Array) -> tuple[np.ndarray, ...]:
     """Row of each entry of a list column of structs, and the structs' fields."""
-    filled = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    sizes = filled.value_lengths().fill_null(0).to_numpy()
-    fields = filled.flatten()
+    sizes = column.value_lengths().fill_null(0).to_numpy()
+    fields = column.flatten()
     return np.repeat(np.arange(len(sizes)), sizes), *(f.to_numpy(zero_copy_only=False) for f in fields.flatten())
 
 

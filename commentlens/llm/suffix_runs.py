@@ -18,6 +18,7 @@ exchange, by string.
 
 from __future__ import annotations
 
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
@@ -31,7 +32,7 @@ from commentlens.llm import anchors
 from commentlens.llm.common import byte_texts, ranges, shuffle_partitions, text_slices
 
 SPAN = 100
-GRAM = 24
+GRAM = 40
 BLOCK = 150_000  # records sorted at a time
 CHUNK = 30_000  # merged records looked at together, if no group is larger
 GROUP = 300_000
@@ -46,8 +47,13 @@ def byte_values(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return _BYTE[np.frombuffer(b"".join(texts), np.uint8)], np.fromiter(map(len, texts), np.int64, len(texts))
 
 
-def records(texts: list[bytes], doc: np.ndarray, p: np.ndarray, span: int, gram: int) -> np.ndarray:
-    """One row per place: ``span`` bytes from it on, then the ``span - gram`` bytes before it, backwards; 0 outside."""
+def records(
+    texts: list[bytes], doc: np.ndarray, p: np.ndarray, low: np.ndarray, high: np.ndarray, span: int, gram: int
+) -> np.ndarray:
+    """One row per place: the bytes from it on, then those before it, backwards, as far as its windows reach; else 0.
+
+    Two records are only compared where windows of both reach, so the zeros are never taken for text.
+    """
     octets = np.frombuffer(b"".join([*texts, b"\0"]), np.uint8)
     counts = np.fromiter(map(len, texts), np.int64, len(texts))
     begins = np.cumsum(counts) - counts
@@ -56,7 +62,7 @@ def records(texts: list[bytes], doc: np.ndarray, p: np.ndarray, span: int, gram:
     for a in range(0, len(p), 20_000):
         rows = slice(a, a + 20_000)
         local = p[rows, None].astype(np.int64) + reach
-        inside = (local >= 0) & (local < counts[doc[rows], None])
+        inside = np.where(reach >= 0, reach < span - low[rows, None], -reach <= high[rows, None])
         out[rows] = octets[np.where(inside, local + begins[doc[rows], None], len(octets) - 1)]
         out[rows][~inside] = 0
     return out
@@ -77,13 +83,14 @@ def encode_run(rows: np.ndarray, shared: np.ndarray, ord_: np.ndarray, p: np.nda
     shared[:1] = 0
     rest = rows[np.arange(rows.shape[1]) >= shared[:, None]]
     parts = [np.array([len(rows)], "<i8"), ord_.astype("<i8"), p.astype("<i4"), shared.astype("<u2"), low.astype("u1"), high.astype("u1"), rest]
-    return b"".join(x.tobytes() for x in parts)
+    return zlib.compress(b"".join(x.tobytes() for x in parts), 1)
 
 
 class Run:
     """A front-coded run that is read record by record."""
 
     def __init__(self, coded: bytes, width: int):
+        coded = zlib.decompress(coded)
         n = int(np.frombuffer(coded, "<i8", 1)[0])
         at = 8
         fields = []
@@ -178,6 +185,16 @@ def later_strings(
     return found
 
 
+def _joined(ord_: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of window starts that touch, as one."""
+    order = np.lexsort((start, ord_))
+    ord_, start, n = ord_[order], start[order], n[order]
+    begin = np.ones(len(order), bool)
+    begin[1:] = (ord_[1:] != ord_[:-1]) | (start[1:] != start[:-1] + n[:-1])
+    first = np.flatnonzero(begin)
+    return ord_[first], start[first], np.add.reduceat(n, first)
+
+
 def _exchange(schema: pa.Schema, **columns: np.ndarray | list) -> pa.RecordBatch:
     size = len(next(iter(columns.values())))
     return pa.RecordBatch.from_arrays(
@@ -205,9 +222,8 @@ def _sorted_block(
     first[1:] = ~first[1:]
     later = order[~first]
     if len(later):
-        start = p[later] - high[later]
-        spread = anchors.spread(ord_[later], start) % (len(splitters) + 1)
-        yield _exchange(schema, range=spread, ord=ord_[later], start=start, n=high[later].astype(np.int64) - low[later] + 1)
+        known, start, n = _joined(ord_[later], p[later] - high[later], high[later] - low[later] + 1)
+        yield _exchange(schema, range=anchors.spread(known, start) % (len(splitters) + 1), ord=known, start=start, n=n)
     stay = np.sort(order[first])
     rows, ord_, p, low, high = rows[stay], ord_[stay], p[stay], low[stay], high[stay]
     shared = prefixes(rows)
@@ -224,16 +240,16 @@ def _sorted_runs(
 ) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, ...]] = []
     size = 0
-    for batch in text_slices(batches, 1, most=1_000_000):
-        batch = batch.filter(batch.column(2).is_valid())
+    for batch in text_slices(batches, 2, most=1_000_000):
+        batch = batch.filter(batch.column(3).is_valid())
         if not batch.num_rows:
             continue
-        texts = byte_texts(batch, 1)
+        texts = byte_texts(batch, 2)
         ords = batch.column(0).to_numpy()
-        doc, p, low, high = anchors.place_arrays(batch.column(2))
+        doc, p, low, high = anchors.places_of(batch.column(3))
         for a in range(0, len(p), BLOCK):
             cut = slice(a, a + BLOCK)
-            held.append((records(texts, doc[cut], p[cut], span, gram), ords[doc[cut]], p[cut].astype(np.int64), low[cut], high[cut]))
+            held.append((records(texts, doc[cut], p[cut], low[cut], high[cut], span, gram), ords[doc[cut]], p[cut].astype(np.int64), low[cut], high[cut]))
             size += len(held[-1][1])
             if size >= BLOCK:
                 yield from _sorted_block(held, splitters, schema)
@@ -287,6 +303,8 @@ def _merged(batches: Iterable[pa.RecordBatch], span: int, gram: int, schema: pa.
         rows, shared, ord_, p, low, high = columns(part)
         found = later_strings(rows, shared, ord_, p, low, high, span)
         ord_, start, n = _intervals(found, ord_, p)
+        if len(n):
+            ord_, start, n = _joined(ord_, start, n)
         return _match(schema, anchors.spread(ord_, start), np.zeros(len(n), np.int64), ord_, start, n, True)
 
     def as_strings(part: list) -> Iterator[pa.RecordBatch]:
@@ -331,13 +349,13 @@ def _splitters(ordered: DataFrame, places: DataFrame, gram: int, count: int) ->
         return []
     cells = 1 << 40
     chosen = int(min(1.0, want / size) * cells)
-    picked = F.filter("places", lambda x: F.pmod(F.xxhash64("ord", x["p"]), F.lit(cells)) < chosen)
+    picked = F.filter("places", lambda x: F.pmod(F.xxhash64("ord", x), F.lit(cells)) < chosen)
     some = places.select("ord", picked.alias("places")).filter(F.size("places") > 0)
 
     def grams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, 0):
             texts = byte_texts(batch, 0)
-            doc, p, *_ = anchors.place_arrays(batch.column(1))
+            doc, p, *_ = anchors.places_of(batch.column(1))
             found = [texts[d][i : i + gram] for d, i in zip(doc.tolist(), p.tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["gram"])
 
@@ -385,7 +403,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", spa
     places = anchors.shared_anchors(ordered, byte_values, gram, span)
     splitters = _splitters(ordered, places, gram, shuffle_partitions(docs))
     exchange, match = (to_arrow_schema(T.StructType.fromDDL(x)) for x in (EXCHANGE, anchors.MATCH))
-    with_places = anchors.with_lists(ordered, places).select("ord", "text", "places")
+    with_places = anchors.with_lists(ordered, places).select("ord", "key", "text", "places")
     runs = with_places.mapInArrow(lambda b: _sorted_runs(b, span, gram, splitters, exchange), EXCHANGE)
     dealt = runs.repartitionById(len(splitters) + 1, F.col("range"))
     found = dealt.mapInArrow(lambda b: _merged(b, span, gram, match), anchors.MATCH)
