@@ -182,21 +182,29 @@ def nearest(
 
     def visits(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Index(*index.value)
+        sample_homes = model.lists(model.sample)
+        few = min(2 * k + 2, len(model.sample))
         for whole in batches:
             for begin in range(0, whole.num_rows, 256):
                 batch = whole.slice(begin, 256)
                 unit = unit_vectors(_matrix(batch.column(1), np.float64))
                 near = np.argsort(-(unit @ model.centroids.T), axis=1, kind="stable")[:, : model.probes]
-                alike = np.sort(unit @ model.sample.T, axis=1)
-                # The query itself may be in the sample, so one more is counted.
-                bound = 2 - 2 * alike[:, -(k + 2)] + SLACK if alike.shape[1] >= k + 2 else np.full(len(unit), np.inf)
-                who = pa.array(np.repeat(np.arange(len(unit)), near.shape[1]))
+                alike = unit @ model.sample.T
+                # The query's nearest vectors of the sample bound the distance, and their lists are probed as
+                # well: so at least they are found. There are twice as many as are asked for.
+                closest = np.argsort(-alike, axis=1)[:, :few]
+                bound = np.full(len(unit), np.inf)
+                if few == 2 * k + 2:
+                    bound = 2 - 2 * np.take_along_axis(alike, closest[:, -1:], axis=1)[:, 0] + SLACK
+                lists = [np.union1d(a, b) for a, b in zip(near, sample_homes[closest])]
+                sizes = [len(x) for x in lists]
+                who = pa.array(np.repeat(np.arange(len(unit)), sizes))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(who),
-                        pa.array(near.ravel(), pa.int32()),
+                        pa.array(np.concatenate(lists), pa.int32()),
                         batch.column(1).take(who),
-                        pa.array(np.repeat(bound, near.shape[1]), pa.float32()),
+                        pa.array(np.repeat(bound, sizes), pa.float32()),
                     ],
                     schema=visit_arrow,
                 )
