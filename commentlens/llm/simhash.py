@@ -16,7 +16,6 @@ Exact copies share a fingerprint and count once. Components of the pairs give th
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterable, Iterator
 
 import numpy as np

@@ -1,4 +1,3 @@
-import hashlib
 import random
 
 import numpy as np
