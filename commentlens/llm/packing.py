@@ -27,7 +27,7 @@ from commentlens.session import written
 WINDOW = 2048
 OPEN_WINDOWS = 32
 LEAST_CUT = 32  # a gap below this many tokens is padded, not filled with a piece of a document
-KNOWN_CHUNKS = 1_000_000  # token ids a worker remembers; then it starts afresh
+KNOWN_CHUNKS = 600_000  # token ids a worker remembers; then it starts afresh
 MERGE = 32  # partitions whose leftovers meet in one task of the next round
 PIECE = "doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, closed boolean, part int"
 
