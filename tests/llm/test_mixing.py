@@ -1,4 +1,5 @@
 import collections
+import decimal
 import hashlib
 import math
 
@@ -76,3 +77,45 @@ def test_nulls_repeats_clashes_and_empty(make_docs):
     assert count[3] % 2 == 0 and all(r.mean == "m" and r.from_source == "f" for r in got)
     assert all(r.rate == 1.0 for r in got if r.doc_id in (1, 2))
     assert mixing.mix(make_docs([])).collect() == []
+
+
+def decimal_counts(us, mean):
+    """The quantiles by plain sums of 60 digits from 0 on."""
+    with decimal.localcontext() as c:
+        c.prec, c.Emin = 60, -(10**9)
+        exact = decimal.Decimal(mean)
+        p = cdf = (-exact).exp()
+        k, found = 0, []
+        for u in sorted(us):
+            while cdf < decimal.Decimal(u):
+                k += 1
+                p = p * exact / k
+                cdf += p
+            found.append(k)
+    return found
+
+
+@pytest.mark.parametrize("mean", [699.5, 700.5, 1000.25, 40_000.75])
+def test_every_mean_has_its_quantile(spark, mean):
+    us = [2.0**-53, 1e-9, 0.01, 0.3, 0.5, 0.77, 0.999, 1 - 2.0**-40]
+    rows = spark.createDataFrame([(u, mean) for u in us], "u double, mean double")
+    got = rows.orderBy("u").select(mixing.poisson_count(F.col("u"), F.col("mean")).alias("k")).collect()
+    assert [r.k for r in got] == decimal_counts(us, mean)
+
+
+def test_a_tiny_source_beside_a_huge_volume(make_docs):
+    rows = [(i, "long text " * 100_000, "big") for i in range(30)] + [(100, "a", "tiny"), (101, "b", None)]
+    docs = make_docs(rows)
+    rates = {r.source: r.rate for r in mixing.repetition_rates(docs).collect()}
+    assert rates["tiny"] > 5000
+    tiny = mixing.mix(docs.filter("length(text) < 2").unionByName(docs.filter("doc_id = 0")), targets={"big": 1, "tiny": 1, None: 1})
+    copies = collections.defaultdict(list)
+    for r in tiny.filter("doc_id >= 100").select("doc_id", "copy", "rate").collect():
+        copies[r.doc_id].append(r.copy)
+        assert r.rate > 300_000
+    for numbers in copies.values():
+        assert sorted(numbers) == list(range(1, len(numbers) + 1))
+        assert len(numbers) == pytest.approx(1_000_002 / 3, rel=0.01)
+    assert set(copies) == {100, 101}
+    counted = mixing.mix(docs).groupBy("doc_id").count().filter("doc_id >= 100").collect()
+    assert all(abs(r["count"] - rates["tiny"]) < 6 * math.sqrt(rates["tiny"]) for r in counted) and len(counted) == 2
