@@ -47,7 +47,7 @@ from commentlens.sources.readers import path_exists
 from commentlens.sources.writers import write_table
 
 PARALLELISM = 8
-# Labelled rows that a fit uses at most; more are sampled by the hash of their key. All that a fit holds on
+# Labelled rows that an iterative fit uses at most; more are sampled by the hash of their key. All that a fit holds on
 # the driver, the vocabulary and its coefficients, follows from these rows.
 FIT_ROWS = 50_000
 MAX_ITER = 1000
@@ -201,9 +201,10 @@ class Featurised:
     sizes: dict[str, int]
 
 
-def featurise(df: DataFrame, key: str, bounds: dict | None = None, fit_rows: int = FIT_ROWS) -> Featurised:
-    """Features of at most ``fit_rows`` usable rows, with folds for trainers that calibrate."""
-    df = at_most(drop_unusable(df), key, fit_rows)
+def featurise(df: DataFrame, key: str, bounds: dict | None = None, fit_rows: int | None = FIT_ROWS) -> Featurised:
+    """Features of at most ``fit_rows`` usable rows (None: of all), with folds for trainers that calibrate."""
+    df = drop_unusable(df)
+    df = df if fit_rows is None else at_most(df, key, fit_rows)
     sizes = class_sizes(df)
     found = fit_vectorizer(df, n_docs=sum(sizes.values()), **(bounds or {}))
     rows = stratified_folds(_indexed(df, list(sizes), class_weights(sizes)), key, k=3)
@@ -211,6 +212,11 @@ def featurise(df: DataFrame, key: str, bounds: dict | None = None, fit_rows: int
     return Featurised(found, written(rows, "features", even=True), sizes)
 
 
+def _rows_of(name: str) -> int | None:
+    """Naive Bayes only counts, so it learns from all rows; the other trainers iterate."""
+    return None if name == "tfidf_multinomial_nb" else FIT_ROWS
+
+
 def fit_on(ready: Featurised, name: str, **params) -> PipelineModel:
     return PipelineModel(ready.vectorizer.stages + TRAINERS[name](ready.rows, ready.sizes, **params))
 
@@ -219,7 +225,7 @@ def fit_candidate(
     df: DataFrame, key: str, name: str = "tfidf_logreg", bounds: dict | None = None, **params
 ) -> PipelineModel:
     """A fitted pipeline from ``comment`` to a decision."""
-    return fit_on(featurise(df, key, bounds), name, **params)
+    return fit_on(featurise(df, key, bounds, _rows_of(name)), name, **params)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -244,13 +250,14 @@ class Grid:
         return top_terms(kept, f"cf{fold}", None).select("term", idf(seen, n).alias("idf"))
 
 
-def grid_features(train: DataFrame, key: str, lengths: list[int], fit_rows: int = FIT_ROWS) -> Grid:
-    """Terms are cut from the texts once; one aggregate counts them per fold.
+def grid_features(train: DataFrame, key: str, lengths: list[int], fit_rows: int | None = None) -> Grid:
+    """Of all rows, or at most ``fit_rows``. Terms are cut from the texts once; one aggregate counts them per fold.
 
     The vocabulary of each combination and fold follows from it by subtraction, so no fold sees the
     terms of its held-out rows.
     """
-    train = at_most(drop_unusable(train).select(key, "comment", "label"), key, fit_rows)
+    train = drop_unusable(train).select(key, "comment", "label")
+    train = train if fit_rows is None else at_most(train, key, fit_rows)
     k = fold_count(class_sizes(train))
     terms = [tokenize_tfidf("comment", n).alias(f"terms_{n}") for n in sorted(set(lengths))]
     rows = written(stratified_folds(train, key, k).select(key, "label", "fold", *terms), "grid-rows", even=True)
@@ -321,14 +328,17 @@ def tuned(params: dict) -> Candidate:
 
 
 def _fit_each(df: DataFrame, key: str, candidates: list[Candidate]) -> list[PipelineModel]:
-    """All candidates fitted on ``df``; those with the same bounds share one table of features."""
-    ready: dict[str, Featurised] = {}
+    """All candidates fitted on ``df``; those with the same bounds and rows share one table of features."""
+    ready: dict[tuple[str, int | None], Featurised] = {}
     models = []
     for c in candidates:
-        bounds = json.dumps(c.bounds, sort_keys=True)
-        if bounds not in ready:
-            ready[bounds] = featurise(df, key, c.bounds)
-        models.append(fit_on(ready[bounds], c.name.removesuffix("_tuned"), **c.params))
+        bounds, name = json.dumps(c.bounds, sort_keys=True), c.name.removesuffix("_tuned")
+        limit = _rows_of(name)
+        whole = [f for (b, _), f in ready.items() if b == bounds and sum(f.sizes.values()) < FIT_ROWS]  # nothing was cut
+        found = whole[0] if whole else ready.get((bounds, limit))
+        if found is None:
+            found = ready[bounds, limit] = featurise(df, key, c.bounds, limit)
+        models.append(fit_on(found, name, **c.params))
     return models
 
 
