@@ -33,6 +33,12 @@ ALONE, SHARED, TOLD = range(3)  # kinds of entries
 OFFSETS = 1 << 12  # a window reaches less than this before its anchor
 
 
+def check_offsets(span: int, gram: int) -> None:
+    """Refuse windows whose offsets from their anchor do not fit the byte that the operators pack them into."""
+    if span - gram > 255:
+        raise ValueError("span and gram may differ by at most 255")
+
+
 def in_order(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``ord``, ``key`` and ``text`` of each row; ``ord`` is unique and ascends with the key.
 

@@ -285,6 +285,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", spa
     empty table gives an empty result. ``factors`` name the place in the reference by the document's rank
     (``anchors.in_order``), which is its key where whole-number keys are unique.
     """
+    anchors.check_offsets(span, gram)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     ordered = anchors.in_order(docs, key, text)

@@ -397,6 +397,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", spa
     empty; texts under ``span`` bytes keep all. Rows that share a key are documents one after the other, by the
     hash of their text; NULL keys come last. Only key and text are read. An empty table gives an empty result.
     """
+    anchors.check_offsets(span, gram)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     ordered = anchors.in_order(docs, key, text)

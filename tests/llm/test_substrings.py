@@ -134,3 +134,12 @@ def test_repeated_keys_nulls_and_empty_of_bytes(make_docs):
     n = len(text)
     assert sorted(got, key=repr) == sorted([(2, 122, 0), (5, n, 120), (5, n, n), (None, n, n)], key=repr)
     assert suffix_runs.remove_repeats(make_docs([])).collect() == []
+
+
+@pytest.mark.parametrize("module", ["relative_parse", "suffix_runs"])
+def test_offsets_beyond_a_byte_are_refused(make_docs, module):
+    import importlib
+
+    operator = importlib.import_module(f"commentlens.llm.{module}")
+    with pytest.raises(ValueError, match="255"):
+        operator.remove_repeats(make_docs([(1, "a b")]), span=300, gram=8)
