@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commentlens.llm import chat_format, content_sort, dimension_scan, hashed_maxent, language_id, mixing, packing, relative_parse, simhash, suffix_runs
+from commentlens.llm import chat_format, content_sort, dimension_scan, divergence, hashed_maxent, language_id, line_index, merkle
+from commentlens.llm import mixing, packing, relative_parse, simhash, suffix_runs
 from commentlens.llm.common import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,3 +190,124 @@ FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counted)""",
 )
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(documents(spark, sf)).withColumn("rate", F.round("rate", 9))
+
+
+@query(
+    "op11_merkle_manifest",
+    """
+WITH RECURSIVE parts AS (
+  SELECT *, replace(text, chr(10), '') AS cut, coalesce('=' || source, '') AS s,
+    coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+    || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+    || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || n_chars, '-') AS head
+  FROM documents),
+leaves AS (
+  SELECT doc_id, s, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(octet_length(encode(cut)) || ':' || cut, '-')) AS cut_leaf
+  FROM parts),
+low(l, s, pos, n, h) AS (
+  SELECT 0, s, row_number() OVER (PARTITION BY s ORDER BY doc_id) - 1, count(*) OVER (PARTITION BY s), leaf FROM leaves
+  UNION ALL
+  SELECT l + 1, s, pos // 3, max((n + 2) // 3), sha256(string_agg(h, '' ORDER BY pos)) FROM low WHERE n > 1 GROUP BY l, s, pos // 3),
+top(l, pos, n, h) AS (
+  SELECT 0, row_number() OVER (ORDER BY s) - 1, count(*) OVER (), h FROM low WHERE n = 1
+  UNION ALL
+  SELECT l + 1, pos // 3, max((n + 2) // 3), sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY l, pos // 3),
+nodes AS (
+  SELECT 0 AS tree, l, s, pos, h FROM low WHERE n > 1
+  UNION ALL SELECT 1, l, '', pos, h FROM top WHERE n > 1),
+edges AS (
+  SELECT tree, l, s, pos,
+    coalesce(string_agg(h, '' ) OVER (w ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+    coalesce(string_agg(h, '' ) OVER (w ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM nodes WINDOW w AS (PARTITION BY tree, l, s, pos // 3)),
+placed AS (
+  SELECT doc_id, s, leaf, CASE WHEN crc32_even THEN cut_leaf ELSE leaf END AS given,
+    row_number() OVER (PARTITION BY s ORDER BY doc_id) - 1 AS pos
+  FROM (SELECT *, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+      lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(i AS INTEGER), 1)) AS BIGINT))), lambda c, x: xor(c >> 8,
+        list_reduce(list_prepend(xor(c, x) & 255, range(8)), lambda t, k: CASE WHEN t & 1 = 1 THEN xor(t >> 1, 3988292384) ELSE t >> 1 END)))
+      % 2 = 1 AS crc32_even
+    FROM leaves)),
+sources AS (SELECT s, h AS subroot, row_number() OVER (ORDER BY s) - 1 AS place FROM low WHERE n = 1),
+walk(doc_id, tree, l, s, pos, place, h, proof) AS (
+  SELECT doc_id, 0, 0, placed.s, pos, place, given, '' FROM placed JOIN sources USING (s)
+  UNION ALL
+  SELECT * FROM (
+    SELECT w.doc_id, w.tree, w.l + 1, w.s, w.pos // 3, w.place, sha256(e.before || w.h || e.after), w.proof || e.before || e.after
+    FROM walk w JOIN edges e ON e.tree = w.tree AND e.l = w.l AND e.s = w.s AND e.pos = w.pos
+    UNION ALL
+    SELECT w.doc_id, 1, 0, '', w.place, w.place, w.h, w.proof FROM walk w
+    WHERE w.tree = 0 AND NOT EXISTS (SELECT 1 FROM edges e WHERE e.tree = 0 AND e.l = w.l AND e.s = w.s AND e.pos = w.pos))),
+done AS (SELECT doc_id, h, proof FROM walk WHERE tree = 1 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY l DESC) = 1),
+root AS (SELECT h AS root FROM top WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, done.h AS folded_root, done.h = root AS verified
+FROM placed JOIN sources USING (s) JOIN done USING (doc_id), root""",
+)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    cut = merkle.leaf_digest(*columns, F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    tampered = F.when(remainder("doc_id", 2) == 0, cut)
+    made = merkle.build(documents(spark, sf), carry={"doc_id": F.col("doc_id"), "tampered": tampered})
+    given = made.rows.withColumn("given", F.coalesce("tampered", "leaf")).drop("tampered")
+    found = merkle.verify(merkle.Manifest(given, made.root), "given")
+    return found.select(
+        "doc_id", merkle.hex_text("leaf").alias("leaf"), merkle.hex_text("subroot").alias("subroot"), "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
+@query(
+    "op12_line_index",
+    r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents),
+keyed AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+gone AS (SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+marked AS (SELECT doc_id, line, i, key IN (SELECT key FROM gone) AS dropped FROM keyed)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
+)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    found = line_index.drop_repeated_lines(documents(spark, sf), carry=["doc_id"])
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query(
+    "op13_source_divergence",
+    r"""
+WITH texts AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+places AS (SELECT lang, source, doc_id, unnest(words) AS term FROM texts),
+kept AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS lang_n, row_number() OVER (PARTITION BY lang ORDER BY term) AS i
+  FROM places GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 10),
+langs AS (SELECT lang, sum(lang_n)::HUGEINT AS lang_total, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM texts),
+counted AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM places GROUP BY ALL),
+cells AS (SELECT g.lang, g.source, k.term, lang_n, coalesce(n, 0)::HUGEINT AS n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+shared AS (
+  SELECT lang, source, term, n, 1 + 1000000000 * (n + 2) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p,
+    1 + 1000000000 * (lang_n + 2) // (lang_total + 2 * v) AS q
+  FROM cells JOIN langs USING (lang)),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shared a JOIN shared b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value FROM shared WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) <= 10""",
+)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf))
