@@ -58,3 +58,55 @@ def test_only_similar_rows_go(make_docs):
     got = sorted((r.doc_id or 0, r.text) for r in word_overlap.drop_similar(docs).collect())
     assert [k for k, _ in got] == [0, 0, 1, 2, 3, 5]
     assert word_overlap.drop_similar(make_docs([])).collect() == []
+
+
+def kept_ids(docs):
+    return sorted(r.doc_id for r in word_overlap.drop_similar(docs).collect())
+
+
+def test_similarity_of_hashes():
+    rng = random.Random(1)
+    for _ in range(50):
+        a = [f"w{rng.randrange(30)}" for _ in range(rng.randrange(40))]
+        b = changed(rng, a, len(a) // 10)
+        found = word_overlap.similarity(*(word_overlap.shingle_hashes(" ".join(x).encode(), 5) for x in (a, b)))
+        assert found == (pytest.approx(jaccard(" ".join(a), " ".join(b))) if a and b else 0.0)
+
+
+def test_boilerplate_drops_nothing(make_docs):
+    rng = random.Random(6)
+    shared = " ".join(f"licence{i}" for i in range(120))
+    rows = [(i, shared + " " + " ".join(f"t{rng.randrange(10**6)}" for _ in range(90))) for i in range(40)]
+    assert kept_ids(make_docs(rows)) == list(range(40))
+
+
+@pytest.mark.parametrize("copies", [0, 3, 220])
+def test_what_stays_does_not_depend_on_the_size_of_a_group(make_docs, copies):
+    """3 is similar to 2 alone, which is similar to 1."""
+    rng = random.Random(8)
+    first = [f"c{rng.randrange(10**6)}" for _ in range(300)]
+    second = [*first[:12], "new", *first[13:40], "more", *first[41:70], "words", *first[71:]]
+    third = [*second[:150], *(f"x{i}" for i in range(14)), *second[164:]]
+    rows = [(i + 1, " ".join(t)) for i, t in enumerate((first, second, third))]
+    assert jaccard(rows[0][1], rows[1][1]) >= 0.8 and jaccard(rows[1][1], rows[2][1]) >= 0.8 > jaccard(rows[0][1], rows[2][1])
+    rows += [(100 + i, " ".join(changed(rng, second, 1))) for i in range(copies)]
+    assert kept_ids(make_docs(rows, 5)) == [1]
+
+
+def test_blocks_of_a_large_band(make_docs, monkeypatch):
+    monkeypatch.setattr(word_overlap, "BLOCK", 16)
+    rng = random.Random(2)
+    base = [f"b{rng.randrange(10**6)}" for _ in range(120)]
+    rows = [(i, " ".join(changed(rng, base, 1))) for i in range(90)] + [(1000, "something else " * 3_000), (1001, None)]
+    assert kept_ids(make_docs(rows, 4)) == [0, 1000, 1001]
+
+
+def test_clashing_columns(spark, make_docs):
+    from pyspark.sql import functions as F
+
+    names = ["k", "h", "key", "text_hash", "own", "band", "bands", "sketch", "block", "best", "position", "key_of", "hash_of", "a", "b", "node", "root"]
+    docs = make_docs([(1, "one two three four five six"), (2, "One two three four five six"), (3, "other")])
+    wide = docs.select("*", *[F.lit(n).alias(n) for n in names])
+    for stage in (word_overlap.drop_similar, dict(corpus_pipeline.STAGES)["simhash_dedup"]):
+        got = stage(wide) if stage is word_overlap.drop_similar else stage(spark, wide, SF)
+        assert got.columns == wide.columns and sorted((r.doc_id, r.k) for r in got.collect()) == [(1, "k"), (3, "k")]
