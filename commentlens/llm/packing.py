@@ -11,7 +11,9 @@ and so needs their lengths alone.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -27,66 +29,147 @@ from commentlens.session import written
 WINDOW = 2048
 OPEN_WINDOWS = 32
 LEAST_CUT = 32  # a gap below this many tokens is padded, not filled with a piece of a document
-KNOWN_CHUNKS = 600_000  # token ids a worker remembers; then it starts afresh
+KNOWN_CHUNKS = 400_000  # chunks whose ids a worker remembers; then it starts afresh
+KNOWN_WORDS = 400_000  # as well, words
+# How a word tokenizer cuts a text, and what it appends to the last letter.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
+# The same for UTF-8 texts of ASCII and of the letters U+00C0 to U+00FF.
+_LETTER = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
+_find_words = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|" + _LETTER + rb"+|[0-9]|[\x00-/:-`{-\x7f]+").findall
+_only_letters = re.compile(_LETTER + rb"+").fullmatch
+_plain = re.compile(rb"(?:[\x00-\x7f]|" + _LETTER + rb")*").fullmatch
 MERGE = 32  # partitions whose leftovers meet in one task of the next round
 PIECE = "doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, closed boolean, part int"
 
 Encoder = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
-class ChunkEncoder:
-    """Token ids of whole texts, from the ids of their chunks between ASCII white space.
+class _Numbers(dict):
+    """Numbers keys as they come; ``new`` lists those that were met for the first time."""
 
-    Holds for tokenizers that drop white space and never join over it. Chunks repeat, so their ids
-    are remembered.
-    """
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[bytes] = []
 
-    def __init__(self, tokenizer_json: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    def __missing__(self, key: bytes) -> int:
+        self.new.append(key)
+        self[key] = number = len(self)
+        return number
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+
+class _Ids:
+    """Token ids of byte strings, in growing arrays. ``learn`` gives the ids of strings that are new, and their number each."""
+
+    def __init__(self, most: int, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]) -> None:
+        self.most, self.learn = most, learn
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = _Numbers()
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         self.ids, self.used = np.zeros(4096, np.uint32), 0
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        if len(self.known) + len(chunks) > KNOWN_CHUNKS:
+    def get(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and the number of each key."""
+        if len(self.known) > self.most:
             self.forget()
-        encoded = self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        lists = [e.ids for e in encoded]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        first, end, most = len(self.known), len(self.known) + len(chunks), self.used + int(lengths.sum())
+        first = len(self.known)
+        at = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+        if self.known.new:
+            new, self.known.new = self.known.new, []
+            self._add(first, *self.learn(new))
+        lengths = self.lengths[at]
+        return self.ids[ranges(self.starts[at], lengths)], lengths
+
+    def _add(self, first: int, ids: np.ndarray, lengths: np.ndarray) -> None:
+        end, most = first + len(lengths), self.used + len(ids)
         while len(self.starts) < end:
             self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
         while len(self.ids) < most:
             self.ids = np.resize(self.ids, 2 * len(self.ids))
         self.lengths[first:end] = lengths
         self.starts[first:end] = self.used + np.cumsum(lengths) - lengths
-        self.ids[self.used : most] = [i for x in lists for i in x]
+        self.ids[self.used : most] = ids
         self.used = most
-        self.known.update(zip(chunks, range(first, end)))
+
+
+def _totals(lengths: np.ndarray, counts: list[int]) -> np.ndarray:
+    """Sums of the first ``counts[0]`` lengths, of the next ``counts[1]``, and so on."""
+    return np.diff(np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *counts])])
+
+
+class ChunkEncoder:
+    """Token ids of whole texts, from the ids of their chunks between ASCII white space.
+
+    Holds for tokenizers that drop white space and never join over it. Chunks repeat, so their ids are remembered. Where the
+    tokenizer is known to cut texts by ``WORD_PATTERN`` and to mark word ends, chunks of ASCII and Latin-1 letters are put together
+    from their words, which repeat more often, and many new words are encoded as one text.
+    """
+
+    def __init__(self, tokenizer_json: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.ends = self._word_ends(json.loads(tokenizer_json))
+        self.words = _Ids(KNOWN_WORDS, self._of_words)
+        self.chunks = _Ids(KNOWN_CHUNKS, self._whole if self.ends is None else self._of_chunks)
+
+    def _word_ends(self, spec: dict) -> np.ndarray | None:
+        """Which ids end a word; None if chunks can only be encoded whole."""
+        steps = [spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}]
+        names = [[x.get("type") for x in s.get("normalizers") or s.get("pretokenizers") or []] for s in steps]
+        split = (steps[1].get("pretokenizers") or [{}])[0]
+        vocabulary = spec["model"]["vocab"]
+        known = names == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and not spec.get("post_processor")
+        if not known or split.get("pattern", {}).get("Regex") != WORD_PATTERN or spec["model"].get("end_of_word_suffix") != WORD_END:
+            return None
+        self.special = [x["content"].encode() for x in spec.get("added_tokens") or []]
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        return ends
+
+    def _whole(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast([k.decode() for k in keys], add_special_tokens=False)]
+        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter((i for x in lists for i in x), np.uint32, int(lengths.sum())), lengths
+
+    def _of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        lettered = [bool(_only_letters(w)) for w in words]
+        plain, other = ([w for w, x in zip(words, lettered) if x is want] for want in (True, False))
+        found = self._whole(other)
+        if plain:
+            lines = [b" ".join(plain[i : i + 500]).decode() for i in range(0, len(plain), 500)]
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)])
+            lengths = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+            plain_ids = (ids, lengths) if len(lengths) == len(plain) else self._whole(plain)
+            found = tuple(np.concatenate(x) for x in zip(plain_ids, found))
+        # Back to the order of the words: letters came first.
+        ids, lengths = found
+        place = np.empty(len(words), np.int64)
+        mask = np.array(lettered, bool)
+        place[mask], place[~mask] = np.arange(len(plain)), len(plain) + np.arange(len(other))
+        starts = (np.cumsum(lengths) - lengths)[place]
+        return ids[ranges(starts, lengths[place])], lengths[place]
+
+    def _words(self, chunk: bytes) -> list[bytes]:
+        """The words of a chunk, or the chunk itself if it holds other characters or a special token."""
+        if chunk.isascii() or _plain(chunk):
+            if not (b"<" in chunk and any(s in chunk for s in self.special)):
+                return _find_words(chunk.lower())
+        return [chunk]
+
+    def _of_chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        split = list(map(self._words, chunks))
+        ids, lengths = self.words.get([w for s in split for w in s])
+        return ids, _totals(lengths, list(map(len, split)))
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of each text."""
         split = [t.split() for t in texts]
-        chunks = [c for s in split for c in s]
-        known = self.known
-        missing = list(dict.fromkeys(c for c in chunks if c not in known))
-        if missing:
-            if len(known) + len(missing) > KNOWN_CHUNKS:
-                self.forget()
-                known = self.known
-                missing = list(dict.fromkeys(chunks))
-            self._learn(missing)
-            known = self.known
-        at = np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
-        lengths = self.lengths[at]
-        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *map(len, split)])]
-        return self.ids[ranges(self.starts[at], lengths)], np.diff(ends)
+        ids, lengths = self.chunks.get([c for s in split for c in s])
+        return ids, _totals(lengths, list(map(len, split)))
 
 
 class OpenWindows:
