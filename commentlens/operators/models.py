@@ -6,23 +6,23 @@ driver is bounded by the vocabulary size and the number of labels.
 
 from __future__ import annotations
 
-import itertools
 import json
 import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from multiprocessing.pool import ThreadPool
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression, NaiveBayes
+from pyspark.ml.common import _py2java
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.util import inheritable_thread_target
 
 from commentlens import rules
 from commentlens.functions.tokens import tokenize_tfidf
+from commentlens.operators import svm_fits
 from commentlens.operators.curate import drop_unusable
 from commentlens.operators.features import (
     class_weights,
@@ -30,8 +30,8 @@ from commentlens.operators.features import (
     idf,
     term_totals,
     top_terms,
-    vectorizer,
 )
+from commentlens.operators.grid_fits import score_grid
 from commentlens.operators.metrics import SCORES, classification_metrics, rank_models
 from commentlens.operators.sampling import (
     at_most,
@@ -46,7 +46,6 @@ from commentlens.session import written
 from commentlens.sources.readers import path_exists
 from commentlens.sources.writers import write_table
 
-PARALLELISM = 8
 # Labelled rows that an iterative fit uses at most; more are sampled by the hash of their key. All that a fit holds on
 # the driver, the vocabulary and its coefficients, follows from these rows.
 FIT_ROWS = 50_000
@@ -54,12 +53,6 @@ MAX_ITER = 1000
 TOLERANCE = 1e-4
 
 
-def _each(spark: SparkSession, tasks: list[Callable]) -> list:
-    """Run independent fits side by side; Spark shares the executors among them."""
-    with ThreadPool(min(PARALLELISM, len(tasks))) as pool:
-        return pool.map(lambda task: inheritable_thread_target(spark)(task)(), tasks)
-
-
 def _indexed(df: DataFrame, classes: list[str], weights: dict[str, float]) -> DataFrame:
     """``y`` and ``class_weight`` from the label; both maps have one entry per class."""
     y, weight = F.lit(None).cast("double"), F.lit(None).cast("double")
@@ -113,18 +106,14 @@ def train_multinomial_nb(rows: DataFrame, sizes: dict[str, int], alpha: float =
     return [fitted, SentimentDecision(list(sizes), ["rawPrediction"], _softmax(raw))]
 
 
-def _platt_rows(margins: DataFrame, i: int) -> DataFrame:
-    """Two weighted rows per example carry the smoothed targets of sigmoid calibration."""
-    positive = F.col("y") == float(i)
-    counts = margins.agg(F.count_if(positive).alias("p"), F.count_if(~positive).alias("n")).first()
-    target = F.when(positive, (counts["p"] + 1.0) / (counts["p"] + 2.0)).otherwise(
-        1.0 / (counts["n"] + 2.0)
-    )
-    sides = F.array(
-        F.struct(F.lit(1.0).alias("side"), target.alias("weight")),
-        F.struct(F.lit(0.0).alias("side"), (1.0 - target).alias("weight")),
+def _svm_stage(raw: str, coefficients: list[float], intercept: float) -> LinearSVCModel:
+    """A fitted SVM as a stage, so that it is stored and applied like any other."""
+    context = SparkContext._active_spark_context
+    uid = LinearSVC().uid
+    model = LinearSVCModel._create_from_java_class(
+        "org.apache.spark.ml.classification.LinearSVCModel", uid, _py2java(context, Vectors.dense(coefficients)), intercept
     )
-    return margins.select("margin", F.inline(sides))
+    return model._set(featuresCol="features", rawPredictionCol=raw, predictionCol=f"{raw}_p")
 
 
 def train_linear_svm(
@@ -132,44 +121,12 @@ def train_linear_svm(
 ) -> list:
     """One-vs-rest linear SVM, calibrated on held-out folds; probabilities averaged over folds."""
     classes = list(sizes)
-    total = sum(sizes.values())
-    weights = class_weights(sizes)
-
-    def fit(fold: int, i: int):
-        raw = f"svm_{fold}_{i}"
-        part = rows.filter(F.col("fold") != fold).withColumn(
-            "target", (F.col("y") == float(i)).cast("double")
-        )
-        part = part.withColumn("svm_weight", F.when(F.col("target") == 1, weights[classes[i]]).otherwise(1.0))
-        svm = LinearSVC(
-            featuresCol="features",
-            labelCol="target",
-            weightCol="svm_weight",
-            rawPredictionCol=raw,
-            predictionCol=f"{raw}_p",
-            maxIter=MAX_ITER,
-            tol=TOLERANCE,
-            regParam=1.0 / (C * total * (folds - 1) / folds),
-            standardization=False,
-        ).fit(part)
-        held = svm.transform(rows.filter(F.col("fold") == fold)).select(
-            "y", vector_to_array(raw)[1].alias("margin")
-        )
-        sigmoid = LogisticRegression(
-            featuresCol="m", labelCol="side", weightCol="weight", standardization=False
-        ).fit(
-            _platt_rows(held, i).select(
-                array_to_vector(F.array("margin")).alias("m"), "side", "weight"
-            )
-        )
-        return svm, float(sigmoid.coefficients[0]), float(sigmoid.intercept)
-
-    pairs = list(itertools.product(range(folds), range(len(classes))))
-    fitted = dict(zip(pairs, _each(rows.sparkSession, [lambda f=f, i=i: fit(f, i) for f, i in pairs])))
+    fitted = svm_fits.fit_all(rows, len(classes), folds, C)
+    pairs = sorted(fitted)
     per_fold = []
     for fold in range(folds):
         sides = [
-            f"1D / (1D + exp(-({fitted[fold, i][1]!r}D * svm_{fold}_{i}[1] + {fitted[fold, i][2]!r}D)))"
+            f"1D / (1D + exp(-({fitted[fold, i].slope!r}D * svm_{fold}_{i}[1] + {fitted[fold, i].shift!r}D)))"
             for i in range(len(classes))
         ]
         values = f"array({', '.join(sides)})"
@@ -182,7 +139,7 @@ def train_linear_svm(
     decision = SentimentDecision(
         classes, [f"svm_{f}_{i}" for f, i in pairs], f"transform({mean}, v -> v / {folds}D)"
     )
-    return [fitted[pair][0] for pair in pairs] + [decision]
+    return [_svm_stage(f"svm_{f}_{i}", fitted[f, i].coefficients, fitted[f, i].intercept) for f, i in pairs] + [decision]
 
 
 TRAINERS: dict[str, Callable] = {
@@ -277,36 +234,13 @@ def grid_search(
     train: DataFrame, key: str, grid: dict[str, list] = rules.GRID, fit_rows: int = FIT_ROWS
 ) -> tuple[dict, DataFrame]:
     """Best parameters of the logistic regression by mean macro F1 over folds of the training part."""
-    spark = train.sparkSession
     shared = grid_features(train, key, grid["ngram_max"], fit_rows)
-    sizes = shared.fold_sizes
-
-    def score_fold(fold: int, ngram_max: int, min_df: int, max_df: float) -> list[tuple]:
-        vocab = [tuple(r) for r in shared.vocabulary(fold, ngram_max, min_df, max_df).collect()]
-        rows = _indexed(shared.rows, list(sizes[fold]), class_weights(sizes[fold]))
-        rows = rows.withColumn("terms", F.col(f"terms_{ngram_max}"))
-        ready = PipelineModel(vectorizer(vocab, ngram_max).stages[1:]).transform(rows)
-        ready = ready.select("label", "y", "class_weight", "fold", "features").persist()
-        found = []
-        for C in grid["C"]:
-            stages = train_logreg(ready.filter(F.col("fold") != fold), sizes[fold], C)
-            held = score(PipelineModel(stages), ready.filter(F.col("fold") == fold))
-            f1 = classification_metrics(held, digits=10).first()["f1_macro"]
-            found.append((C, max_df, min_df, ngram_max, fold, f1))
-        ready.unpersist()
-        return found
-
-    shapes = itertools.product(grid["ngram_max"], grid["min_df"], grid["max_df"], range(len(sizes)))
-    runs = _each(spark, [lambda s=s: score_fold(s[3], s[0], s[1], s[2]) for s in shapes])
-    scores = spark.createDataFrame(
-        [r for run in runs for r in run],
-        "C double, max_df double, min_df int, ngram_max int, fold int, f1_macro double",
-    )
+    scores = score_grid(shared.rows, list(shared.fold_sizes[0]), len(shared.fold_sizes), grid)
     results = scores.groupBy("C", "max_df", "min_df", "ngram_max").agg(
         F.avg("f1_macro").alias("mean_f1_macro")
     )
     # On a tie the first combination in grid order wins; the grid lists its values ascending.
-    ranked = results.orderBy(F.desc("mean_f1_macro"), "C", "max_df", "min_df", "ngram_max")
+    ranked = written(results, "grid").orderBy(F.desc("mean_f1_macro"), "C", "max_df", "min_df", "ngram_max")
     best = ranked.first()
     return {n: best[n] for n in ("C", "max_df", "min_df", "ngram_max")}, ranked
 
