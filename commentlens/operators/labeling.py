@@ -12,8 +12,8 @@ from commentlens import rules
 from commentlens.functions.labels import parse_label
 from commentlens.functions.text import comment_hash
 from commentlens.operators.sampling import first_by
-from commentlens.session import written
-from commentlens.sources.readers import load_prior_output
+from commentlens.session import work_folder, written
+from commentlens.sources.readers import load_prior_output, path_exists
 
 Labeler = Callable[[str], str]
 
@@ -120,8 +120,14 @@ def label_backlog(
     pending = written(pending, "backlog")
     save_every = save_every or rules.SAVE_EVERY * spark.sparkContext.defaultParallelism
     waves = max(1, -(-pending.count() // save_every))
+    queue = work_folder(spark, "waves")
+    dealt = pending.withColumn("wave", F.pmod(F.xxhash64(key), F.lit(waves)).cast("int")).repartition("wave")
+    dealt.write.partitionBy("wave").parquet(queue)
+    # Each wave is a folder of its own, so the backlog is read once, however often progress is saved.
     for wave in range(waves):
-        part = pending.filter(F.pmod(F.xxhash64(key), F.lit(waves)) == wave)
+        if not path_exists(spark, f"{queue}/wave={wave}"):
+            continue
+        part = spark.read.schema(pending.schema).parquet(f"{queue}/wave={wave}")
         labelled, failed = label_batch(part, key, labeler, max_retries)
         failed.write.mode("append").parquet(f"{folder}/failed.parquet")
         labelled.write.mode("append").parquet(f"{folder}/labelled.parquet")

@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commentlens import rules
-from commentlens.operators.labeling import Labeler, hashed, label_batch, resume_anti_join
+from commentlens.operators.labeling import Labeler, hashed, label_batch
 from commentlens.operators.scoring import predict_batch
-from commentlens.sources.readers import load_prior_output
 
 
-BUCKETS = 64  # folders that seen ids and labelled rows are dealt over, by the hash of their key
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"  # state on the executors' disks
 
 
 def arriving(
@@ -38,42 +38,50 @@ def _run(writer, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def _bucket(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
-
-
-def _earlier(spark: SparkSession, path: str, schema: str, batch: DataFrame, number: int) -> DataFrame:
-    """What other batches wrote to the buckets that this batch's rows fall into."""
-    met = [r["bucket"] for r in batch.select("bucket").distinct().collect()]  # at most BUCKETS
-    known = load_prior_output(spark, path, f"{schema}, bucket int, batch bigint")
-    return known.filter(F.col("bucket").isin(met) & (F.col("batch") != number))
+def _run_keyed(spark: SparkSession, writer, checkpoint: str) -> None:
+    """As :func:`_run`, for jobs that remember every key: in RocksDB, with changes alone written per batch."""
+    wanted = {STATE_STORE: ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        _run(writer, checkpoint)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def stream_ingest_dedup(stream: DataFrame, key: str, time: str, out: str, checkpoint: str) -> None:
     """First sighting of each id, however late a repetition or a new id arrives.
 
-    The ids seen are the output itself, dealt by hash over bucket folders; a batch reads the buckets it needs.
-    Within a batch the earliest row by ``time`` stays. A replayed batch replaces what it wrote.
+    Which ids were seen, and when, is keyed state in the checkpoint: a batch looks up its own ids and reads no earlier output,
+    so its cost follows from its own rows. Within a batch the earliest row by ``time`` stays. A replayed batch has the
+    time it had before and replaces what it wrote. Rows without an id are dropped. A clock that goes back between two
+    batches of a run is an error, as state could no longer tell which sighting was first.
     """
     spark = stream.sparkSession
-    kind = stream.schema[key].dataType.simpleString()
+    arrived, row = "_arrived", "_row"
+    columns = F.struct(F.col(time), *[c for c in stream.columns if c != time])
+    known = stream.filter(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.struct(F.current_timestamp().alias(arrived), columns.alias(row)).alias("_seen"))
+    firsts = known.groupBy("_key").agg(F.min("_seen").alias("_first")).select("_first.*", F.current_timestamp().alias("_now"))
+    latest_run = []
 
     def step(batch: DataFrame, number: int) -> None:
-        known = batch.filter(F.col(key).isNotNull())
-        columns = F.struct(F.col(time), *[c for c in batch.columns if c != time])
-        firsts = known.groupBy(key).agg(F.min(columns).alias("_row")).select("_row.*").withColumn("bucket", _bucket(key))
-        seen = _earlier(spark, f"{out}.parquet", f"{key} {kind}", firsts, number)
-        fresh = firsts.join(seen.select(key), key, "left_anti")
-        fresh = fresh.select(*batch.columns, F.lit(number).cast("bigint").alias("batch"), "bucket")
-        _replace(fresh, f"{out}.parquet", number)
+        fresh = batch.filter(F.col(arrived) == F.col("_now"))
+        now = fresh.select("_now").first()
+        if now is not None:
+            if latest_run and now["_now"] <= latest_run[-1]:
+                raise RuntimeError("the clock went back between two batches")
+            latest_run[:] = [now["_now"]]
+        _replace(fresh.select(f"{row}.*").select(*stream.columns), f"{out}.parquet", number)
 
-    _run(stream.writeStream.foreachBatch(step), checkpoint)
+    _run_keyed(spark, firsts.writeStream.outputMode("update").foreachBatch(step), checkpoint)
 
 
 def _replace(rows: DataFrame, path: str, number: int) -> None:
-    """Write a batch's rows by bucket; a batch that is written again replaces its own folders only."""
-    writer = rows.withColumn("batch", F.lit(number).cast("bigint")).repartition("bucket").write
-    writer.partitionBy("bucket", "batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    """Write a batch's rows; a batch that is written again replaces its own folder only."""
+    writer = rows.withColumn("batch", F.lit(number).cast("bigint")).write
+    writer.partitionBy("batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
 def stream_score(
@@ -137,23 +145,15 @@ def stream_daily_trend(
 def stream_label_resume(
     stream: DataFrame, key: str, text: str, labeler: Labeler, folder: str, checkpoint: str
 ) -> None:
-    """Label arriving comments once each.
+    """Label arriving comments once each: what was labelled is a key and a text, which keyed state remembers.
 
-    Every micro-batch writes folders of its own, so replaying one after a failure replaces its
-    output instead of repeating it; rows that earlier batches hold are skipped. Output is dealt by hash over
-    bucket folders, and a batch reads only those that its own keys fall into.
+    A batch reads no earlier output. Every micro-batch writes folders of its own, so replaying one after a failure replaces its
+    output instead of repeating it.
     """
-    spark = stream.sparkSession
-    kind = stream.schema[key].dataType.simpleString()
+    fresh = hashed(stream, key, text).dropDuplicates([key, "text_sha"])
 
     def step(batch: DataFrame, number: int) -> None:
-        rows = hashed(batch, key, text).dropDuplicates([key, "text_sha"]).withColumn("bucket", _bucket(key))
-        done = None
-        for name in ("labelled", "failed"):
-            part = _earlier(spark, f"{folder}/{name}.parquet", f"{key} {kind}, text_sha string", rows, number)
-            done = part if done is None else done.unionByName(part)
-        pending = resume_anti_join(rows, done, key)
-        for name, part in zip(("labelled", "failed"), label_batch(pending, key, labeler)):
-            _replace(part.withColumn("bucket", _bucket(key)), f"{folder}/{name}.parquet", number)
-
-    _run(stream.writeStream.foreachBatch(step), checkpoint)
+        for name, part in zip(("labelled", "failed"), label_batch(batch, key, labeler)):
+            _replace(part, f"{folder}/{name}.parquet", number)
+
+    _run_keyed(stream.sparkSession, fresh.writeStream.foreachBatch(step), checkpoint)

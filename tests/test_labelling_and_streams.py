@@ -84,6 +84,31 @@ def test_stream_dedup_over_runs(spark):
     assert sorted(r["id"] for r in spark.read.parquet(f"{out}.parquet").collect()) == list(range(71))
 
 
+def test_many_small_batches_read_no_earlier_output(spark, monkeypatch):
+    """Thirty arrivals, each with new ids, ids of all earlier batches, and repeated ids of which the earliest stays."""
+    folder, out, check = (work_folder(spark, n) for n in ("in", "out", "check"))
+    for i in range(30):
+        rows = [(k, 1000 * i - k, f"batch {i}") for k in range(3 * i, 3 * i + 3)]
+        rows += [(k, t + 7, f"later {i}") for k, t, _ in rows] + [(k, -9, "again") for k in range(0, 3 * i, 5)] + [(None, 0, "none")]
+        df = spark.createDataFrame(rows, "id bigint, at bigint, note string").coalesce(1)
+        df.write.mode("append").parquet(folder)
+    reads = []
+    plain = type(spark.read).parquet
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *a, **k: reads.append(a) or plain(self, *a, **k))
+    stream = jobs.arriving(spark, folder, df.schema, files_per_batch=1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        jobs.stream_ingest_dedup(stream, "id", "at", out, check)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert not reads  # what was seen is state, not output
+    got = {r["id"]: r for r in plain(spark.read, f"{out}.parquet").collect()}
+    assert len(got) == 90 and plain(spark.read, f"{out}.parquet").count() == 90
+    for r in got.values():
+        assert r["note"] == f"batch {r['id'] // 3}" and r["at"] == 1000 * (r["id"] // 3) - r["id"]
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
 def test_days_and_months_are_utc(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
