@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commentlens.functions.tokens import keyword_words
+from commentlens.session import written
+
+FREQUENT = 1000  # a word that more documents hold is frequent
+
 
 def word_intersection(a, b):
     """Size of the intersection of two word arrays."""
@@ -18,6 +22,24 @@ def _word_table(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
     )
 
 
+def _graded(table: DataFrame, name: str, frequent: DataFrame) -> DataFrame:
+    """One row per word, with the number of documents that hold it where the word is frequent."""
+    return written(table.select(name, F.explode("words").alias("word")).join(frequent, "word", "left"), "lookup")
+
+
+def _frequent_sets(graded: DataFrame, name: str) -> DataFrame:
+    """Each row's frequent words, the rarest first."""
+    ordered = F.sort_array(F.collect_list(F.struct("held", "word")))
+    sets = graded.filter("held IS NOT NULL").groupBy(name).agg(ordered.alias("set"))
+    return sets.select(name, F.col("set.word").alias("set"))
+
+
+def _best(scores: DataFrame, by: str) -> DataFrame:
+    """The document with the highest score of each row, on a tie the smallest."""
+    least = F.min(F.struct((-F.col("score")).alias("less"), "document")).alias("best")
+    return scores.groupBy(by).agg(least).select(by, "best.document", (-F.col("best.less")).alias("score"))
+
+
 def keyword_overlap_match(
     questions: DataFrame,
     question_key: str,
@@ -25,23 +47,43 @@ def keyword_overlap_match(
     documents: DataFrame,
     document_key: str,
     document_text: str,
+    frequent_from: int = FREQUENT,
 ) -> DataFrame:
     """``(question, document, score)`` for every question; NULL and 0 where no word is shared.
 
-    An equi-join on the word, added up per (question, document): partial sums are made where the join's rows
-    are, the best document of each question is a second aggregate, and ties go to the smallest id. A word that
-    many documents hold makes the join's partition large, which adaptive execution splits. Keys are unique.
+    Documents that share a rare word with a question are found by a join on the rare words, so a word brings a
+    question at most ``frequent_from`` documents; their scores add the frequent words that both hold. A document
+    that shares no rare word has at most as many points as the question has frequent words, so only questions whose best so far does
+    not exceed that are looked at again. For these, equal sets of frequent words are one on either side, and sets meet on
+    the question's rarest frequent words alone: without one of these a document cannot reach the best. So a word that
+    all rows hold makes no product of rows. Ties go to the smallest id. Keys are unique.
     """
     asked = _word_table(questions, question_key, question_text, "question")
     library = _word_table(documents, document_key, document_text, "document")
-    pairs = asked.select("question", F.explode("words").alias("word")).join(
-        library.select("document", F.explode("words").alias("word")), "word"
-    )
-    scores = pairs.groupBy("question", "document").agg(F.count(F.lit(1)).alias("score"))
-    best = scores.groupBy("question").agg(
-        F.min(F.struct((-F.col("score")).alias("less"), "document")).alias("best")
-    )
-    found = best.select("question", "best.document", (-F.col("best.less")).alias("score"))
+    held = library.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("held"))
+    frequent = written(held.filter(F.col("held") > frequent_from), "lookup")
+    asked, library = _graded(asked, "question", frequent), _graded(library, "document", frequent)
+    asked_sets, library_sets = _frequent_sets(asked, "question"), _frequent_sets(library, "document")
+
+    rare = asked.filter("held IS NULL").join(library.filter("held IS NULL").select("document", "word"), "word")
+    rare = rare.groupBy("question", "document").agg(F.count(F.lit(1)).alias("rare"))
+    both = rare.join(asked_sets.withColumnRenamed("set", "a"), "question", "left")
+    both = both.join(library_sets.withColumnRenamed("set", "b"), "document", "left")
+    shared = F.coalesce(word_intersection("a", "b"), F.lit(0))
+    first = written(_best(both.select("question", "document", (F.col("rare") + F.greatest(shared, F.lit(0))).alias("score")), "question"), "lookup")
+
+    reached = F.coalesce("score", F.lit(0)).alias("reached")
+    open_ = asked_sets.join(first, "question", "left").select("question", "set", reached).filter(F.col("reached") <= F.size("set"))
+    kinds = open_.groupBy("set", "reached").agg(F.min("question").alias("kind"))
+    needed = F.size("set") - F.greatest("reached", F.lit(1)) + 1
+    left = kinds.select("kind", F.explode(F.slice("set", F.lit(1), needed.cast("int"))).alias("word"))
+    lowest = library_sets.groupBy("set").agg(F.min("document").alias("document"))
+    met = left.join(lowest.select("document", F.explode("set").alias("word")), "word").select("kind", "document").distinct()
+    met = met.join(kinds.select("kind", F.col("set").alias("a")), "kind").join(lowest.withColumnRenamed("set", "b"), "document")
+    again = _best(met.select("kind", "document", word_intersection("a", "b").cast("long").alias("score")), "kind")
+    again = open_.join(kinds, ["set", "reached"]).select("question", "kind").join(again, "kind").select("question", "document", "score")
+
+    found = _best(first.unionByName(again), "question")
     keys = questions.select(F.col(question_key).alias("question"))
     return keys.join(found, "question", "left").select(
         "question", "document", F.coalesce("score", F.lit(0)).alias("score")

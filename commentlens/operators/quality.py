@@ -136,6 +136,46 @@ def _length_columns(included) -> list:
     ]
 
 
+SKETCH_K = 400  # size of a quantile sketch: some kilobytes, whatever the number of rows
+RANK_ERROR = 0.01  # of a quantile from a sketch of that size; twice the error that 99 of 100 sketches keep
+
+
+def length_sketches(df: DataFrame, normalized: str, by: list[str] = ()) -> DataFrame:
+    """Lengths of normalised texts as mergeable sketches, one row per group of ``by``: rows, extremes and quantiles (KLL).
+
+    The exact profile keeps a count of every different length until the end; a sketch has a fixed size, so tasks send
+    kilobytes, and parts sketched on different days can be merged without their rows.
+    """
+    sizes = df.select(*by, F.length(normalized).cast("bigint").alias("chars"), words_in(normalized).cast("bigint").alias("words"))
+    parts = [
+        f(name).alias(f"{name}_{x}") for name in ("chars", "words")
+        for x, f in (("min", F.min), ("max", F.max), ("sketch", lambda c: F.kll_sketch_agg_bigint(c, F.lit(SKETCH_K))))
+    ]
+    return sizes.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *parts)
+
+
+def merge_length_sketches(sketches: DataFrame, by: list[str] = ()) -> DataFrame:
+    """Sketches of parts as sketches of coarser groups, or of all."""
+    parts = [
+        f(f"{name}_{x}").alias(f"{name}_{x}") for name in ("chars", "words")
+        for x, f in (("min", F.min), ("max", F.max), ("sketch", lambda c: F.kll_merge_agg_bigint(c, F.lit(SKETCH_K))))
+    ]
+    return sketches.groupBy(*by).agg(F.sum("rows").alias("rows"), *parts)
+
+
+def length_estimates(sketches: DataFrame, by: list[str] = ()) -> DataFrame:
+    """``(…, measure, share, estimate, rows, least, most)``: quartiles whose rank is within ``RANK_ERROR`` of the share."""
+    entries = [
+        F.struct(
+            F.lit(name).alias("measure"), F.lit(q).alias("share"),
+            F.kll_sketch_get_quantile_bigint(f"{name}_sketch", F.lit(q)).alias("estimate"),
+            "rows", F.col(f"{name}_min").alias("least"), F.col(f"{name}_max").alias("most"),
+        )
+        for name in ("chars", "words") for q in QUARTILES.values()
+    ]
+    return sketches.filter("rows > 0").select(*by, F.inline(F.array(*entries)))
+
+
 def label_distribution(df: DataFrame) -> DataFrame:
     """Count and percentage per allowed label, in the fixed order, zeros included."""
     counts = [F.count_if(F.col("label") == label).alias(label) for label in rules.LABELS]

@@ -377,6 +377,33 @@ def length_profile(spark, sf):
     return _rounded(quality.length_profile(rows, "norm"))
 
 
+@query(
+    "length_sketch",
+    f"""WITH sizes AS (SELECT length(comment) AS chars, {b.sql_words('comment')} AS words
+          FROM (SELECT {b.sql_norm('text')} AS comment FROM documents)),
+        measured AS (SELECT 'chars' AS measure, chars AS x FROM sizes UNION ALL SELECT 'words', words FROM sizes),
+        shares AS (SELECT unnest([{', '.join(str(q) for q in quality.QUARTILES.values())}])::DOUBLE AS share)
+      SELECT measure, share, CAST(count(*) AS BIGINT) AS rows, CAST(min(x) AS BIGINT) AS least, CAST(max(x) AS BIGINT) AS most,
+        true AS within FROM measured, shares GROUP BY measure, share""",
+)
+def length_sketch(spark, sf):
+    """Quartiles from merged sketches of each language; ``within`` holds their exact ranks against the stated error."""
+    rows = b.table(spark, sf, "documents").select("lang", text.normalize_text("text").alias("norm"))
+    sketches = quality.merge_length_sketches(quality.length_sketches(rows, "norm", ["lang"]))
+    found = quality.length_estimates(sketches)
+    sizes = rows.select(F.explode(F.array(
+        F.struct(F.lit("chars").alias("measure"), F.length("norm").cast("bigint").alias("x")),
+        F.struct(F.lit("words").alias("measure"), text.words_in("norm").cast("bigint").alias("x")),
+    )).alias("s")).select("s.*")
+    counted = sizes.join(F.broadcast(found), "measure").groupBy("measure", "share", "rows", "least", "most").agg(
+        F.count_if(F.col("x") < F.col("estimate")).alias("below"), F.count_if(F.col("x") <= F.col("estimate")).alias("reached")
+    )
+    near = (F.col("below") / F.col("rows") <= F.col("share") + quality.RANK_ERROR) & (
+        F.col("reached") / F.col("rows") >= F.col("share") - quality.RANK_ERROR
+    )
+    return counted.select("measure", "share", "rows", "least", "most", near.alias("within"))
+
+
 COUNTS_SQL = ", ".join(f"count(*) FILTER (label = '{x}') AS count_{x}" for x in rules.LABELS)
 SHARES_SQL = ", ".join(
     f"round(100.0 * count(*) FILTER (label = '{x}') / CAST(count(*) AS DOUBLE), 2) AS percentage_{x}"

@@ -75,13 +75,14 @@ def test_distinctive_words(spark):
     assert len(top) == 6 and all(r["score"] >= 0 for r in top)
 
 
-def test_best_document(spark):
-    """Against a plain loop."""
-    docs = list(enumerate(corpus(30, 3)))
-    questions = list(enumerate(corpus(50, 4) + ["zz unknownword", "", None]))
+@pytest.mark.parametrize("frequent_from", [lookup.FREQUENT, 5, 1, 0])
+def test_best_document(spark, frequent_from):
+    """Against a plain loop, whatever counts as a frequent word; one word is everywhere."""
+    docs = [(d, t + " everywhere") for d, t in enumerate(corpus(30, 3))]
+    questions = list(enumerate([t + " everywhere" for t in corpus(50, 4)] + ["everywhere", "zz unknownword", "", None]))
     found = lookup.keyword_overlap_match(
         spark.createDataFrame(questions, "q bigint, t string").repartition(3), "q", "t",
-        spark.createDataFrame(docs, "d bigint, t string"), "d", "t",
+        spark.createDataFrame(docs, "d bigint, t string"), "d", "t", frequent_from,
     ).collect()
     expected = []
     for q, text in questions:
@@ -107,3 +108,18 @@ def test_long_conversation_is_trimmed_before_the_shuffle(spark):
     df = spark.range(10).selectExpr("id % 2 AS conv_id", "id AS turn", "'user' AS role", "'x' AS text")
     plan = dialog.history_trim(df)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_sketches_merge_within_their_error(spark):
+    from commentlens.operators import quality
+
+    rng = random.Random(4)
+    sizes = [int(rng.expovariate(0.01)) for _ in range(6000)]
+    rows = spark.createDataFrame([(i % 7, "x" * n) for i, n in enumerate(sizes)], "part int, norm string").repartition(5)
+    parts = quality.length_sketches(rows, "norm", ["part"])
+    assert parts.count() == 7
+    for r in quality.length_estimates(quality.merge_length_sketches(parts)).filter("measure = 'chars'").collect():
+        assert (r["rows"], r["least"], r["most"]) == (6000, min(sizes), max(sizes))
+        below, reached = (sum(n < r["estimate"] for n in sizes), sum(n <= r["estimate"] for n in sizes))
+        assert below / 6000 <= r["share"] + quality.RANK_ERROR and reached / 6000 >= r["share"] - quality.RANK_ERROR
+    assert quality.length_estimates(quality.length_sketches(rows.limit(0), "norm")).collect() == []
