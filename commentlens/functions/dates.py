@@ -30,30 +30,37 @@ _FORMS = [
 
 
 def _written(text: Column, form: str, year: int, month: int, day: int) -> Column:
-    """The moment a text of this form names, else NULL. Of two numbers the first is the month where that can be."""
-
-    def part(group: int) -> Column:
-        return F.regexp_extract(text, form + _CLOCK, group)
-
-    def number(value: Column) -> Column:
-        return value.try_cast("int")
-
-    name = F.lower(F.substring(part(month), 1, 3))
-    month_value = F.coalesce(number(part(month)), F.nullif(F.array_position(F.array(*[F.lit(m) for m in MONTHS]), name).cast("int"), F.lit(0)))
-    day_value = number(part(day))
-    swapped = (month_value > 12) & (day_value <= 12)
-    half = F.lower(part(7))
-    hour = F.coalesce(number(part(4)), F.lit(0))
-    hour = F.when(half == "pm", hour % 12 + 12).when(half == "am", hour % 12).otherwise(hour)
-    moment = F.try_make_timestamp(
-        number(part(year)),
-        F.when(swapped, day_value).otherwise(month_value),
-        F.when(swapped, month_value).otherwise(day_value),
-        hour,
-        F.coalesce(number(part(5)), F.lit(0)),
-        F.coalesce(number(part(6)), F.lit(0)).cast("decimal(8,6)"),
-    )
-    return F.when(text.rlike(form + _CLOCK), moment)
+    """The moment a text of this form names, else NULL. Of two numbers the first is the month where that can be.
+
+    All groups are taken in one pass over the text.
+    """
+
+    def moment(parts: Column) -> Column:
+        def part(group: int) -> Column:
+            return F.get(parts, group - 1)
+
+        def number(value: Column) -> Column:
+            return value.try_cast("int")
+
+        name = F.lower(F.substring(part(month), 1, 3))
+        month_value = F.coalesce(number(part(month)), F.nullif(F.array_position(F.array(*[F.lit(m) for m in MONTHS]), name).cast("int"), F.lit(0)))
+        day_value = number(part(day))
+        swapped = (month_value > 12) & (day_value <= 12)
+        half = F.lower(part(7))
+        hour = F.coalesce(number(part(4)), F.lit(0))
+        hour = F.when(half == "pm", hour % 12 + 12).when(half == "am", hour % 12).otherwise(hour)
+        return F.try_make_timestamp(
+            number(part(year)),
+            F.when(swapped, day_value).otherwise(month_value),
+            F.when(swapped, month_value).otherwise(day_value),
+            hour,
+            F.coalesce(number(part(5)), F.lit(0)),
+            F.coalesce(number(part(6)), F.lit(0)).cast("decimal(8,6)"),
+        )
+
+    groups = F.split(F.regexp_replace(text, form + _CLOCK, "$1|$2|$3|$4|$5|$6|$7"), "[|]")
+    found = F.transform(F.array(groups), moment)
+    return F.when(text.rlike(form + _CLOCK), F.get(found, 0))
 
 
 def lenient_timestamp(c: Column | str) -> Column:

@@ -51,11 +51,10 @@ def sentiment_summary(df: DataFrame, sentiment: str = "predicted_sentiment") ->
 def monthly_trend(df: DataFrame, date: str, sentiment: str) -> DataFrame:
     """Comments per month and label; rows without a readable date are left out."""
     month = F.date_trunc("month", lenient_timestamp(F.col(f"`{date}`"))).cast("date")
-    dated = df.select(month.alias("month"), F.col(sentiment).alias("sentiment"))
-    dated = dated.filter(F.col("month").isNotNull() & F.col("sentiment").isNotNull())
-    return dated.groupBy("month").agg(
-        *[F.count_if(F.col("sentiment") == x).alias(x) for x in rules.LABELS]
-    )
+    dated = df.filter(F.col(f"`{sentiment}`").isNotNull()).select(month.alias("month"), F.col(f"`{sentiment}`").alias("sentiment"))
+    # A filter on the month before the aggregate would have every date read twice.
+    counts = dated.groupBy("month").agg(*[F.count_if(F.col("sentiment") == x).alias(x) for x in rules.LABELS])
+    return counts.filter(F.col("month").isNotNull())
 
 
 def doc_frequency(df: DataFrame, text: str = "comment") -> DataFrame:

@@ -2,47 +2,29 @@
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from commentlens import rules
 from commentlens.functions.text import is_blank, strip
 
-LEVELS = 3  # envelope levels opened with plain expressions; deeper ones go through the UDF
-
-
-def _open(v: str) -> str:
-    """SQL for the items one level below ``v``; a record is its own only item."""
-    lists = [f"try_variant_get({v}, '$', 'array<variant>')"]
-    lists += [f"try_variant_get({v}, '$.{key}', 'array<variant>')" for key in ("data", "comments")]
-    return f"coalesce({', '.join(lists)}, array({v}))"
-
+LISTS = ["try_variant_get({v}, '$', 'array<variant>')", *[f"try_variant_get({{v}}, '$.{k}', 'array<variant>')" for k in ("data", "comments")]]
 
-def _items(payload) -> list:
-    """Records of a payload nested to any depth."""
-    pending, found = [payload], []
-    while pending:
-        item = pending.pop()
-        inner = item
-        if isinstance(item, dict):
-            inner = next((item[k] for k in ("data", "comments") if isinstance(item.get(k), list)), None)
-        if isinstance(inner, list):
-            pending.extend(reversed(inner))
-        elif item is not None:
-            found.append(item)
-    return found
 
+def _inner(v: str) -> str:
+    """SQL for the items one level below ``v``; NULL for a record."""
+    return f"coalesce({', '.join(x.format(v=v) for x in LISTS)})"
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _open_fully(payloads: pd.Series) -> pd.Series:
-    def records(payload):
-        return [json.dumps(item, ensure_ascii=False) for item in _items(json.loads(payload))]
 
-    return payloads.map(records, na_action="ignore")
+def _all_items(v: str, most: str) -> str:
+    """SQL for the records below ``v``: levels are opened until no list is left, which takes ``most`` steps or fewer."""
+    opened = f"flatten(transform(level.items, item -> coalesce({_inner('item')}, array(item))))"
+    step = (
+        f"transform(array({opened}), found -> named_struct('items', found, "
+        f"'done', NOT exists(found, item -> {_inner('item')} IS NOT NULL)))[0]"
+    )
+    start = f"named_struct('items', array({v}), 'done', false)"
+    return f"aggregate(sequence(0, {most}), {start}, (level, i) -> if(level.done, level, {step}), level -> level.items)"
 
 
 END = "␃"  # stands behind a payload while it is parsed
@@ -72,26 +54,11 @@ def json_records(df: DataFrame, payload: str) -> DataFrame:
     of these, or a single record. Records are numbered within their payload. Payloads that are no
     JSON, or go on behind it, give one row with a NULL record, so that they can be counted.
     """
-    df = df.withColumn("_payload", whole_json(F.col(payload)))
-    items = _open("_payload")
-    for _ in range(LEVELS - 1):
-        items = f"flatten(transform({items}, item -> {_open('item')}))"
-    df = df.withColumn("_items", F.expr(items))
-    nested = F.expr(
-        "exists(_items, item -> coalesce(try_variant_get(item, '$', 'array<variant>'),"
-        " try_variant_get(item, '$.data', 'array<variant>'),"
-        " try_variant_get(item, '$.comments', 'array<variant>')) is not null)"
-    )
-    deep = _open_fully(F.when(nested & F.col("_payload").isNotNull(), F.col(payload)))
-    df = df.withColumn("_deep", deep)
-    records = F.when(
-        F.col("_deep").isNotNull(), F.transform("_deep", lambda item: F.parse_json(item))
-    ).otherwise(
-        F.filter("_items", lambda item: item.isNull() | ~F.is_variant_null(item))
-    )
-    return df.select("*", F.posexplode(records).alias("record_pos", "record")).drop(
-        "_payload", "_items", "_deep"
-    )
+    brackets = F.length(payload) - F.length(F.replace(F.col(payload), F.lit("["), F.lit("")))
+    df = df.withColumns({"_payload": whole_json(F.col(payload)), "_brackets": brackets})
+    items = F.expr(f"coalesce({_all_items('_payload', '_brackets')}, array(_payload))")
+    records = F.filter(items, lambda item: item.isNull() | ~F.is_variant_null(item))
+    return df.select("*", F.posexplode(records).alias("record_pos", "record")).drop("_payload", "_brackets")
 
 
 def json_text(record: str) -> Column:

@@ -136,3 +136,19 @@ def test_filters_apply_only_when_given(spark):
     assert landed.source_filter(df, posted_from="2024-01-05", posted_to="2024-01-31").count() == 1
     pushed = landed.source_filter(df, agency="B", docket="D").filter(F.col("id") == "2")
     assert pushed.count() == 1
+
+
+def test_envelopes_of_any_depth_keep_their_spelling(spark):
+    """Ten levels of lists and objects, beside shallow payloads; numbers stay as they were written."""
+    record = '{"id": 1.50, "n": 12345678901234567890, "tags": ["a", ["b"]]}'
+    payload = f"[{record}, null]"
+    for level in range(10):
+        payload = [f'[{{"data": {payload}}}]', f"[{payload}]", f'[{{"comments": {payload}, "x": [1]}}]'][level % 3]
+    rows = [(1, payload), (2, record), (3, f"[{record}, [[{record}], []]]"), (4, "[]"), (5, "no json ["), (6, None)]
+    df = spark.createDataFrame(rows, "k int, p string")
+    found = envelopes.json_records(df, "p").select("k", "record_pos", F.to_json("record").alias("r")).orderBy("k", "record_pos").collect()
+    flat = spark.createDataFrame([(record,)], "p string").select(F.to_json(F.parse_json("p")).alias("r")).first()["r"]
+    assert [tuple(r) for r in found] == [(1, 0, flat), (2, 0, flat), (3, 0, flat), (3, 1, flat), (5, 0, None), (6, 0, None)]
+    assert "1.5" in flat and "12345678901234567890" in flat
+    plan = envelopes.json_records(df, "p")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
