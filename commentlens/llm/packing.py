@@ -36,7 +36,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 # The same for UTF-8 texts of ASCII and of the letters U+00C0 to U+00FF.
 _LETTER = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
-_find_words = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|" + _LETTER + rb"+|[0-9]|[\x00-/:-`{-\x7f]+").findall
+_find_words = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|" + _LETTER + rb"+|[0-9]|\n|[\x00-\x09\x0b-/:-`{-\x7f]+").findall
 _only_letters = re.compile(_LETTER + rb"+").fullmatch
 _plain = re.compile(rb"(?:[\x00-\x7f]|" + _LETTER + rb")*").fullmatch
 MERGE = 32  # partitions whose leftovers meet in one task of the next round
@@ -136,7 +136,7 @@ class ChunkEncoder:
         return np.fromiter((i for x in lists for i in x), np.uint32, int(lengths.sum())), lengths
 
     def _of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        lettered = [bool(_only_letters(w)) for w in words]
+        lettered = [w.isalpha() or bool(_only_letters(w)) for w in words]
         plain, other = ([w for w, x in zip(words, lettered) if x is want] for want in (True, False))
         found = self._whole(other)
         if plain:
@@ -153,17 +153,21 @@ class ChunkEncoder:
         starts = (np.cumsum(lengths) - lengths)[place]
         return ids[ranges(starts, lengths[place])], lengths[place]
 
-    def _words(self, chunk: bytes) -> list[bytes]:
-        """The words of a chunk, or the chunk itself if it holds other characters or a special token."""
-        if chunk.isascii() or _plain(chunk):
-            if not (b"<" in chunk and any(s in chunk for s in self.special)):
-                return _find_words(chunk.lower())
-        return [chunk]
-
     def _of_chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        split = list(map(self._words, chunks))
-        ids, lengths = self.words.get([w for s in split for w in s])
-        return ids, _totals(lengths, list(map(len, split)))
+        """Plain chunks are cut into words all at once, one a line; a chunk with other characters or a special token is one word."""
+        plain = [c.isascii() or bool(_plain(c)) for c in chunks]
+        joined = b"\n".join(chunks)
+        if any(s in joined for s in self.special):
+            plain = [p and not any(s in c for s in self.special) for p, c in zip(plain, chunks)]
+        flat = _find_words(b"\n".join([c if p else b"" for c, p in zip(chunks, plain)]).lower() + b"\n")
+        ends = np.flatnonzero(np.fromiter(map(b"\n".__eq__, flat), bool, len(flat)))
+        counts = np.diff(ends, prepend=-1) - 1
+        for i in np.flatnonzero(counts == 0).tolist():
+            flat[ends[i]] = chunks[i]  # in place of the end of its empty line
+        kept = np.ones(len(flat), bool)
+        kept[ends[counts > 0]] = False
+        ids, lengths = self.words.get([w for w, k in zip(flat, kept.tolist()) if k])
+        return ids, _totals(lengths, np.maximum(counts, 1).tolist())
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of each text."""
