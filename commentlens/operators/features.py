@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkContext
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
@@ -11,7 +13,6 @@ from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from commentlens import rules
 from commentlens.functions.tokens import term_counts, term_marks, tokenize_tfidf
@@ -83,7 +84,7 @@ class TfidfTokens(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
 
 
 class SublinearTf(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """``1 + ln tf`` on a sparse count vector, without leaving the JVM."""
+    """``1 + ln tf`` on a sparse count vector."""
 
     def __init__(self, inputCol: str = "counts", outputCol: str = "damped"):
         super().__init__()
@@ -93,22 +94,22 @@ class SublinearTf(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
         return df.withColumn(self.getOutputCol(), damp(F.col(self.getInputCol())))
 
 
+@F.arrow_udf(VectorUDT())
+def _damped(parts: pa.Array) -> pa.Array:
+    counts = parts.field("values")
+    damped = pa.ListArray.from_arrays(counts.offsets, pc.add(1.0, pc.ln(counts.values)), type=counts.type)
+    kind = pc.fill_null(parts.field("type"), 0)  # the field may not be NULL, not even where the vector is
+    columns = [kind, parts.field("size"), parts.field("indices"), damped]
+    return pa.StructArray.from_arrays(columns, fields=list(parts.type), mask=parts.is_null())
+
+
 def damp(counts: Column) -> Column:
-    parts = F.unwrap_udt(counts)
-    values = F.transform(parts["values"], lambda tf: F.lit(1.0) + F.log(tf))
-    return as_vector(parts["size"], parts["indices"], values)
-
-
-def as_vector(size: Column, indices: Column, values: Column) -> Column:
-    """A sparse vector from its parts. Spark has no cast to the vector type, but a reader for it."""
-    parts = F.struct(
-        F.lit(0).cast("tinyint").alias("type"),
-        size.alias("size"),
-        indices.alias("indices"),
-        values.alias("values"),
-    )
-    schema = T.StructType([T.StructField("v", VectorUDT())])
-    return F.from_json(F.to_json(F.struct(parts.alias("v"))), schema)["v"]
+    """The vector with each count damped; NULL stays NULL.
+
+    No built-in function or transformer takes a logarithm of a sparse vector or builds one from its parts, so the
+    parts travel as an Arrow struct, whose values are one flat array for the whole batch.
+    """
+    return _damped(F.unwrap_udt(counts))
 
 
 def count_vectorizer(terms: list[str]) -> CountVectorizerModel:
