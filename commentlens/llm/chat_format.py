@@ -52,7 +52,7 @@ class Fields:
 
 @dataclass(frozen=True)
 class Row:
-    """One turn per record."""
+    """One turn per record; such turns are canonical already, so their roles stay as they stand."""
 
     order: str
     role: str
@@ -106,21 +106,25 @@ def schema_paths(schema: T.DataType, prefix: str = "") -> list[str]:
 
 
 def _turn(role: Column, text: Column, place: Column) -> Column:
-    known = F.lower(F.trim(F.coalesce(role.cast("string"), F.lit(""))))
-    names = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
-    # Only names that stand for another role are replaced; others are kept as they are written.
     return F.struct(
         place.cast("long").alias("turn"),
-        F.coalesce(F.try_element_at(names, known), role.cast("string"), F.lit("")).alias("role"),
+        F.coalesce(role.cast("string"), F.lit("")).alias("role"),
         F.coalesce(text.cast("string"), F.lit("")).alias("text"),
     )
 
 
+def _canonical(role: Column) -> Column:
+    """Names that stand for another role are replaced; others are kept as they are written."""
+    known = F.lower(F.trim(F.coalesce(role.cast("string"), F.lit(""))))
+    names = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])
+    return F.coalesce(F.try_element_at(names, known), role.cast("string"))
+
+
 def _mapped(mapping: Mapping, get) -> Column:
     """The record's turns as a list; ``get`` gives the column of a top-level path."""
     if isinstance(mapping, Turns):
         listed = F.coalesce(get(mapping.path), F.array().cast(f"array<struct<`{mapping.role}`:string,`{mapping.text}`:string>>"))
-        return F.transform(listed, lambda m, i: _turn(m[mapping.role], m[mapping.text], i))
+        return F.transform(listed, lambda m, i: _turn(_canonical(m[mapping.role]), m[mapping.text], i))
     if isinstance(mapping, Row):
         return F.array(_turn(get(mapping.role), get(mapping.text), get(mapping.order)))
     made = []
@@ -132,17 +136,20 @@ def _mapped(mapping: Mapping, get) -> Column:
 
 
 def from_table(table: DataFrame, key: str, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """key, turn, role, text of a typed table; other columns are ignored.
+    """key, turn, role, text of a typed table; columns that no mapping knows are ignored.
 
-    The mapping is the one whose paths are all in the schema and which uses most of them: the fingerprints of
-    the known paths' subsets are looked up, largest first. No mapping: an error that names the paths.
+    The fingerprint of the schema's known paths is looked up, as ``from_json`` does for each record. A table that holds
+    the paths of several mappings together has none of their fingerprints: of those it holds whole, the mapping with
+    the most paths is taken, the first declared of equals. None held whole: an error that names the paths.
     """
     known = table_of(mappings)
     have = set(schema_paths(table.schema))
-    fitting = [m for m in known.values() if set(paths_of(m)) <= have]
-    if not fitting:
-        raise ValueError(f"no mapping for the fields {sorted(have)}")
-    mapping = known[fingerprint(paths_of(max(fitting, key=lambda m: len(set(paths_of(m))))))]
+    mapping = known.get(fingerprint(have & {p for m in mappings for p in paths_of(m)}))
+    if mapping is None:
+        held = [m for m in known.values() if set(paths_of(m)) <= have]
+        if not held:
+            raise ValueError(f"no mapping for the fields {sorted(have)}")
+        mapping = max(held, key=lambda m: len(set(paths_of(m))))
     turns = _mapped(mapping, lambda path: F.col(f"`{path}`"))
     return table.select(F.col(key).alias("key"), F.inline(turns))
 

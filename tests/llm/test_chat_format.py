@@ -87,6 +87,15 @@ def test_tables_by_schema(spark):
         chat_format.from_table(spark.sql("SELECT 1 AS id, 2 AS other"), "id")
 
 
+def test_roles_of_rows_as_they_stand(spark):
+    rows = [(1, 0, "human", "q"), (1, 1, "gpt", "a"), (1, 2, " Assistant ", "b"), (1, 3, "assistant", "c")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert back(chat_format.from_table(df, "conv_id")) == {1: digests([(r, t) for _, _, r, t in rows])}
+    # An unknown column leaves the fingerprint as it is; paths of a second mapping choose the larger one.
+    wider = df.withColumn("other", F.lit("x")).withColumn("prompt", F.lit("p")).withColumn("completion", F.lit("c"))
+    assert back(chat_format.from_table(wider, "conv_id")) == back(chat_format.from_table(df, "conv_id"))
+
+
 def test_nulls_repeats_long_and_empty(spark):
     schema = "conv_id long, turn long, role string, text string"
     rows = [(1, 0, None, None), (1, 0, None, None), (1, None, "assistant", "late"), (None, 1, "user", "u"), (2, 1, "assistant", "x" * 300_000)]
