@@ -154,16 +154,8 @@ GRID_SQL = f"""WITH {SPLIT_SQL.replace("  src AS", "  all_rows AS").replace("FRO
 def grid_features(spark, sf):
     """The vocabulary of every shape and fold of the whole grid, before any model is fitted on it."""
     grid = models.grid_features(sampling.union_splits(_split(spark, sf), "train"), "doc_id", rules.GRID["ngram_max"])
-    found = None
     shapes = itertools.product(*(rules.GRID[n] for n in ("ngram_max", "min_df", "max_df")), range(len(grid.fold_sizes)))
-    for ngram_max, min_df, max_df, fold in shapes:
-        names = [F.lit(x).alias(n) for x, n in zip((ngram_max, min_df, max_df, fold), ("ngram_max", "min_df", "max_df", "fold"))]
-        n_docs = F.lit(sum(grid.fold_sizes[fold].values())).cast("bigint").alias("n_docs")
-        one = grid.vocabulary(fold, ngram_max, min_df, max_df).agg(
-            F.count("*").alias("terms"), F.round(F.sum("idf"), 3).alias("idf_sum")
-        ).select(*names, n_docs, "terms", "idf_sum")
-        found = one if found is None else found.unionByName(one)
-    return found
+    return grid.vocabulary_sizes(list(shapes)).withColumn("idf_sum", F.round("idf_sum", 3))
 
 
 _GRIDS: dict = {}
