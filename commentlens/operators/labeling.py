@@ -15,6 +15,8 @@ from commentlens.operators.sampling import first_by
 from commentlens.session import work_folder, written
 from commentlens.sources.readers import load_prior_output, path_exists
 
+TASK_ROWS = 10_000  # of a wave that one task deals out, or so
+
 Labeler = Callable[[str], str]
 
 
@@ -121,7 +123,9 @@ def label_backlog(
     save_every = save_every or rules.SAVE_EVERY * spark.sparkContext.defaultParallelism
     waves = max(1, -(-pending.count() // save_every))
     queue = work_folder(spark, "waves")
-    dealt = pending.withColumn("wave", F.pmod(F.xxhash64(key), F.lit(waves)).cast("int")).repartition("wave")
+    parts = -(-save_every // TASK_ROWS)  # so that a long wave is several tasks and files
+    part = F.pmod(F.xxhash64(F.lit("part"), key), F.lit(parts))
+    dealt = pending.withColumn("wave", F.pmod(F.xxhash64(key), F.lit(waves)).cast("int")).repartition("wave", part)
     dealt.write.partitionBy("wave").parquet(queue)
     # Each wave is a folder of its own, so the backlog is read once, however often progress is saved.
     for wave in range(waves):
