@@ -4,15 +4,18 @@ A text's signature of minima is cut into bands of ``ROWS``; texts that share a b
 band that several texts share. Its members stand in the order of the minima that follow the band, so that the most alike are
 neighbours; each is compared with the band's smallest member and with the ``NEIGHBOURS`` before it, by a sketch of the
 signature. Where the sketch says that a text is nearly the same as the smallest one, that pair alone is a candidate.
-So the candidates of a band are at most a few times its members, whatever its size, and no text is met with all others.
+So this pass has at most a few times a band's members as candidates, whatever its size.
 A band's members are dealt in blocks by their position, so a band that holds a third of all texts is many tasks.
 
 Candidates are compared once, by all of their shingles (64-bit hashes). Components of the similar pairs give the
 classes, of which the smallest row stays.
 
+That leaves pairs with other texts between them. A second pass looks at each band whose members the links found so far do not make
+one class, and meets every two of its members that are of different classes, block by block (``_across``): the work grows with the square
+of such a band, a task holds two blocks.
+
 What may be missed: by the formula a pair at similarity 0.8 shares no band with a chance of 3 in 100,000, at 0.9 of less than
-1 in 10^9. A pair that shares bands is missed if in each of them other texts stand between the two, neither is the band's
-smallest, and no chain of similar texts connects them.
+1 in 10^9, and the sketch hides one with a chance below 1 in 100,000.
 """
 
 from __future__ import annotations
@@ -117,6 +120,62 @@ def _candidates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(o, own.type) for o in out], names=["a", "b"])
 
 
+def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (band, low, high): pairs of a row of one block and a row of the other, of different classes, that may be similar."""
+    least = LEAST_ALIKE * BANDS * ROWS
+    now, held, kind = None, [], None
+
+    def met() -> pa.RecordBatch:
+        ahead = [x for x in held if x[0] == now[1]]
+        after = [x for x in held if x[0] == now[2]]
+        sketches = np.array([np.frombuffer(x[2], ">u2") for x in after])
+        numbers = {r: i for i, r in enumerate({x[3] for x in held})}
+        classes = np.array([numbers[x[3]] for x in after])
+        out: tuple[list, list] = ([], [])
+        for i, (_, own, sketch, root) in enumerate(ahead):
+            start = i + 1 if now[1] == now[2] else 0
+            alike = (sketches[start:] == np.frombuffer(sketch, ">u2")).sum(axis=1)
+            for j in np.flatnonzero((alike >= least) & (classes[start:] != numbers[root])).tolist():
+                a, b = sorted((own, after[start + j][1]), key=lambda x: (x["key"], x["text_hash"]))
+                out[0].append(b)
+                out[1].append(a)
+        return pa.RecordBatch.from_arrays([pa.array(o, kind) for o in out], names=["a", "b"])
+
+    for batch in batches:
+        names = ("band", "low", "high", "number", "own", "sketch", "root")
+        band, low, high, number, own, sketch, root = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
+        kind = batch.column(batch.schema.get_field_index("own")).type
+        for i, place in enumerate(zip(band, low, high)):
+            if place != now:
+                if held:
+                    yield met()
+                now, held = place, []
+            held.append((number[i], own[i], sketch[i], (root[i]["key"], root[i]["text_hash"])))
+    if held:
+        yield met()
+
+
+def across(placed: DataFrame, links: DataFrame) -> DataFrame | None:
+    """Pairs ``a``, ``b`` of members of a band that ``links`` leave in different classes; None if there is no such band.
+
+    ``placed``: own, band, position in it, members of it, and sketch. Bands of few members were met in full.
+    """
+    kind = placed.schema["own"].dataType.simpleString()
+    classes = written(components(links, "a", "b"), "overlap")
+    rows = placed.filter(F.col("members") > NEIGHBOURS + 1).join(classes.withColumnRenamed("node", "own"), "own", "left")
+    rows = rows.withColumn("root", F.coalesce("root", "own"))
+    split = rows.groupBy("band").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one <> other").select("band")
+    split = written(split, "overlap")
+    if split.isEmpty():
+        return None
+    blocks = F.sequence(F.lit(0), F.floor((F.col("members") - 1) / BLOCK))
+    rows = rows.join(split, "band").withColumn("number", F.floor(F.col("position") / BLOCK))
+    rows = rows.select("band", "number", "position", "own", "sketch", "root", F.explode(blocks).alias("other"))
+    rows = rows.withColumns({"low": F.least("number", "other"), "high": F.greatest("number", "other")}).drop("other")
+    rows = rows.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high", "number", "position")
+    return rows.mapInArrow(_across, f"a {kind}, b {kind}").distinct()
+
+
 def _sets(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in text_slices(batches, 1):
         found = [shingle_hashes(t, words).tobytes() for t in byte_texts(batch, 1)]
@@ -144,15 +203,27 @@ def similar_pairs(slim: DataFrame, words: int = 5, least: float = 0.8) -> DataFr
     # The minima behind the band, in a circle.
     follow = F.expr(f"substring(concat(sketch, sketch), (nth + 1) * {2 * ROWS} + 1, {4 * ROWS})")
     rows = written(sharing.select("own", "band", "best", "sketch", follow.alias("follow")), "overlap")
-    placed = ranked(rows, ["band"], ["follow", "own"], "position", "members").join(bests, "best")
+    placed = ranked(rows, ["band"], ["follow", "own"], "position", "members")
+    first = placed.join(bests, "best")
     block = F.floor(F.col("position") / BLOCK)
     own = F.struct(block.alias("block"), F.lit(False).alias("context"))
     ahead = F.when(F.col("position") % BLOCK >= BLOCK - NEIGHBOURS, F.struct((block + 1).alias("block"), F.lit(True).alias("context")))
-    dealt = placed.select("band", "position", "own", "sketch", "best", "best_sketch", F.explode(F.array(own, ahead)).alias("in"))
+    dealt = first.select("band", "position", "own", "sketch", "best", "best_sketch", F.explode(F.array(own, ahead)).alias("in"))
     dealt = dealt.filter("in IS NOT NULL").select("*", "in.*").drop("in").repartition("band", "block")
     dealt = dealt.sortWithinPartitions("band", "block", "position", "own")
     pairs = written(dealt.mapInArrow(_candidates, f"a {kind}, b {kind}").distinct(), "overlap")
 
+    links = written(_verified(slim, pairs, words, least), "overlap")
+    rest = across(placed, links)
+    if rest is None:
+        return links
+    rest = written(rest.join(pairs, ["a", "b"], "left_anti"), "overlap")
+    return links.unionByName(_verified(slim, rest, words, least))
+
+
+def _verified(slim: DataFrame, pairs: DataFrame, words: int, least: float) -> DataFrame:
+    """Those of the pairs whose whole sets of shingles are similar."""
+    kind = slim.schema["own"].dataType.simpleString()
     involved = pairs.select(F.explode(F.array("a", "b")).alias("own")).distinct()
     sets = slim.join(involved, "own", "left_semi").select("own", "text").mapInArrow(lambda b: _sets(b, words), f"own {kind}, hashes binary")
     sets = written(sets, "overlap")
