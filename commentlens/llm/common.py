@@ -82,3 +82,11 @@ def worker_store(name: str) -> dict:
     """
     module = sys.modules.setdefault(f"_worker_store_{name}", types.ModuleType(name))
     return module.__dict__.setdefault("store", {})
+
+
+def leave_stores() -> None:
+    """Empties what other operators' tasks keep in this Python worker, which the session goes on using."""
+    for name, module in list(sys.modules.items()):
+        if name.startswith("_worker_store_"):
+            module.__dict__.get("store", {}).clear()
+    pa.default_memory_pool().release_unused()

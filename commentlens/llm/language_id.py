@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commentlens.llm.common import byte_texts, plain, text_slices
+from commentlens.llm.common import byte_texts, leave_stores, plain, text_slices
 
 ORDER = 3
 ROWS_PER_LANGUAGE = 1000
@@ -53,6 +53,7 @@ def _windows(symbol: np.ndarray) -> np.ndarray:
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    leave_stores()
     for batch in text_slices(batches, 1):
         languages = np.array(batch.column(0).to_pylist())
         texts = byte_texts(batch, 1)
@@ -197,6 +198,7 @@ def predict(docs: DataFrame, trees: ContextTrees, text: str = "text", carry: lis
     arrow = to_arrow_schema(out)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leave_stores()
         trees = ContextTrees(*model.value)
         for batch in text_slices(batches, 0, most=500_000):
             texts = byte_texts(batch, 0)
