@@ -11,8 +11,8 @@ Candidates are compared once, by all of their shingles (64-bit hashes). Componen
 classes, of which the smallest row stays.
 
 That leaves pairs with other texts between them. A second pass looks at each band whose members the links found so far do not make
-one class, and meets every two of its members that are of different classes, block by block (``_across``): the work grows with the square
-of such a band, a task holds two blocks.
+one class, and meets every two of its members that are of different classes, block by block (``_across``), deciding there by their whole
+sets: the comparisons grow with the square of such a band, the rows of any table do not, and a task holds two blocks.
 
 What may be missed: by the formula a pair at similarity 0.8 shares no band with a chance of 3 in 100,000, at 0.9 of less than
 1 in 10^9, and the sketch hides one with a chance below 1 in 100,000.
@@ -20,7 +20,8 @@ What may be missed: by the formula a pair at similarity 0.8 shares no band with
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import math
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ BANDS = 20
 ROWS = 4
 NEIGHBOURS = 6
 BLOCK = 512  # members of a band that are looked at together
+HELD = 1 << 23  # bytes of their sets of shingles, at most
 # Of the minima of a pair at 0.8 this share agrees but for a chance below 1 in 100,000; the second is near sameness.
 LEAST_ALIKE, NEARLY_SAME = 0.6, 0.95
 _RANDOM = np.random.default_rng(42).integers(0, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64)
@@ -120,45 +122,65 @@ def _candidates(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(o, own.type) for o in out], names=["a", "b"])
 
 
-def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (band, low, high): pairs of a row of one block and a row of the other, of different classes, that may be similar."""
-    least = LEAST_ALIKE * BANDS * ROWS
+def _across(batches: Iterable[pa.RecordBatch], exact: float) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by place (band and two blocks): links of a row of one block and a row of the other, of different classes.
+
+    A pair counts as met at the smallest band that holds both. A link joins the two classes for the rest of the place, so a place
+    has fewer links than rows.
+    """
+    alike_least = LEAST_ALIKE * BANDS * ROWS
     now, held, kind = None, [], None
 
     def met() -> pa.RecordBatch:
-        ahead = [x for x in held if x[0] == now[1]]
-        after = [x for x in held if x[0] == now[2]]
-        sketches = np.array([np.frombuffer(x[2], ">u2") for x in after])
-        numbers = {r: i for i, r in enumerate({x[3] for x in held})}
-        classes = np.array([numbers[x[3]] for x in after])
+        ahead, after = ([x for x in held if x["block"] == now[side]] for side in (1, 2))
+        sketches = np.array([np.frombuffer(x["sketch"], ">u2") for x in after]).reshape(len(after), -1)
+        numbers = {r: i for i, r in enumerate({(x["root"]["key"], x["root"]["text_hash"]) for x in held})}
+        first, classes = ([numbers[x["root"]["key"], x["root"]["text_hash"]] for x in rows] for rows in (ahead, after))
+        joined, classes = np.arange(len(numbers)), np.array(classes, dtype=np.int64)
+        sets: list[dict] = [{}, {}]  # the rows' shingles and bands as they were needed
         out: tuple[list, list] = ([], [])
-        for i, (_, own, sketch, root) in enumerate(ahead):
+
+        def of(side: int, i: int) -> tuple:
+            if i not in sets[side]:
+                row = (ahead, after)[side][i]
+                sets[side][i] = (None if row["hashes"] is None else np.frombuffer(row["hashes"], np.uint64)), frozenset(row["bands"])
+            return sets[side][i]
+
+        for i, row in enumerate(ahead):
             start = i + 1 if now[1] == now[2] else 0
-            alike = (sketches[start:] == np.frombuffer(sketch, ">u2")).sum(axis=1)
-            for j in np.flatnonzero((alike >= least) & (classes[start:] != numbers[root])).tolist():
-                a, b = sorted((own, after[start + j][1]), key=lambda x: (x["key"], x["text_hash"]))
-                out[0].append(b)
-                out[1].append(a)
+            alike = (sketches[start:] == np.frombuffer(row["sketch"], ">u2")).sum(axis=1)
+            for j in (np.flatnonzero((alike >= alike_least) & (joined[classes[start:]] != joined[first[i]])) + start).tolist():
+                (mine, in_bands), (other, also_in) = of(0, i), of(1, j)
+                if joined[classes[j]] == joined[first[i]] or min(in_bands & also_in) != now[0]:
+                    continue
+                if mine is None or similarity(mine, other) >= exact:
+                    a, b = sorted((row["own"], after[j]["own"]), key=lambda x: (x["key"], x["text_hash"]))
+                    out[0].append(b)
+                    out[1].append(a)
+                    joined[joined == joined[classes[j]]] = joined[first[i]]
         return pa.RecordBatch.from_arrays([pa.array(o, kind) for o in out], names=["a", "b"])
 
     for batch in batches:
-        names = ("band", "low", "high", "number", "own", "sketch", "root")
-        band, low, high, number, own, sketch, root = (batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names)
         kind = batch.column(batch.schema.get_field_index("own")).type
-        for i, place in enumerate(zip(band, low, high)):
+        for row in batch.to_pylist():
+            row["block"] = row["kind"], row["number"]
+            place = row["band"], (row["low_kind"], row["low"]), (row["high_kind"], row["high"])
             if place != now:
                 if held:
                     yield met()
                 now, held = place, []
-            held.append((number[i], own[i], sketch[i], (root[i]["key"], root[i]["text_hash"])))
+            held.append(row)
     if held:
         yield met()
 
 
-def across(placed: DataFrame, links: DataFrame) -> DataFrame | None:
-    """Pairs ``a``, ``b`` of members of a band that ``links`` leave in different classes; None if there is no such band.
+def across(placed: DataFrame, links: DataFrame, sets: Callable[[DataFrame], DataFrame] | None = None, least: float = 0.8) -> DataFrame | None:
+    """Links ``a``, ``b`` of members of a band that ``links`` leave in different classes; None if there is no such band.
 
     ``placed``: own, band, position in it, members of it, and sketch. Bands of few members were met in full.
+    ``sets`` gives ``own`` and ``hashes`` for rows of ``own``; without it the sketch alone decides. The decision falls where
+    two blocks meet, so no table holds the pairs that are only looked at. Rows of a band are dealt by the size of their set: only
+    neighbouring sizes can reach ``least``, and a block has so many rows that their sets are at most ``HELD`` bytes (or one row).
     """
     kind = placed.schema["own"].dataType.simpleString()
     classes = written(components(links, "a", "b"), "overlap")
@@ -168,12 +190,39 @@ def across(placed: DataFrame, links: DataFrame) -> DataFrame | None:
     split = written(split, "overlap")
     if split.isEmpty():
         return None
-    blocks = F.sequence(F.lit(0), F.floor((F.col("members") - 1) / BLOCK))
-    rows = rows.join(split, "band").withColumn("number", F.floor(F.col("position") / BLOCK))
-    rows = rows.select("band", "number", "position", "own", "sketch", "root", F.explode(blocks).alias("other"))
-    rows = rows.withColumns({"low": F.least("number", "other"), "high": F.greatest("number", "other")}).drop("other")
-    rows = rows.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high", "number", "position")
-    return rows.mapInArrow(_across, f"a {kind}, b {kind}").distinct()
+    rows = rows.join(split, "band").select("band", "position", "own", "sketch", "root")
+    involved = written(rows.groupBy("own").agg(F.collect_list("band").alias("bands")), "overlap")
+    if sets is None:
+        known = involved.withColumn("hashes", F.lit(None).cast("binary"))
+    else:
+        known = involved.join(sets(involved.select("own")), "own")
+    known = written(known, "overlap")
+    step = math.log(1 / least) + 1e-6
+    size = F.greatest(F.coalesce(F.octet_length("hashes") / 8, F.lit(1)), F.lit(1))
+    sized = known.select("own", F.floor(F.log(size) / step).alias("kind"))
+    rows = ranked(rows.join(sized, "own"), ["band", "kind"], ["position", "own"], "place", "alike")
+    room = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(HELD / 8 / F.exp((F.col("kind") + 1) * step))))
+    rows = rows.withColumns({"number": F.floor(F.col("place") / room), "blocks": F.floor((F.col("alike") - 1) / room) + 1})
+    counts = rows.select("band", "kind", "blocks").distinct()
+    for name, by in (("above", 1), ("below", -1)):
+        rows = rows.join(counts.select("band", (F.col("kind") - by).alias("kind"), F.col("blocks").alias(name)), ["band", "kind"], "left")
+
+    def numbers(blocks: str):
+        return F.when(F.col(blocks) > 0, F.sequence(F.lit(0).cast("bigint"), F.col(blocks) - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    def at(low_kind, low, high_kind, high):
+        return F.struct(low_kind.alias("low_kind"), low.alias("low"), high_kind.alias("high_kind"), high.alias("high"))
+
+    mine, number = F.col("kind"), F.col("number")
+    places = F.concat(
+        F.transform(numbers("blocks"), lambda o: at(mine, F.least(number, o), mine, F.greatest(number, o))),
+        F.transform(numbers("above"), lambda o: at(mine, number, mine + 1, o)),
+        F.transform(numbers("below"), lambda o: at(mine - 1, o, mine, number)),
+    )
+    rows = rows.join(known, "own").select("band", "kind", "number", "position", "own", "sketch", "root", "bands", "hashes", F.inline(places))
+    place = ["band", "low_kind", "low", "high_kind", "high"]
+    rows = rows.repartition(*place).sortWithinPartitions(*place, "kind", "number", "position")
+    return rows.mapInArrow(lambda b: _across(b, least), f"a {kind}, b {kind}").distinct()
 
 
 def _sets(batches: Iterable[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
@@ -214,11 +263,15 @@ def similar_pairs(slim: DataFrame, words: int = 5, least: float = 0.8) -> DataFr
     pairs = written(dealt.mapInArrow(_candidates, f"a {kind}, b {kind}").distinct(), "overlap")
 
     links = written(_verified(slim, pairs, words, least), "overlap")
-    rest = across(placed, links)
-    if rest is None:
-        return links
-    rest = written(rest.join(pairs, ["a", "b"], "left_anti"), "overlap")
-    return links.unionByName(_verified(slim, rest, words, least))
+    rest = across(placed, links, lambda own: _sets_of(slim, own, words), least)
+    return links if rest is None else links.unionByName(rest)
+
+
+def _sets_of(slim: DataFrame, own: DataFrame, words: int) -> DataFrame:
+    kind = slim.schema["own"].dataType.simpleString()
+    texts = slim.join(own, "own", "left_semi").select("own", "text")
+    # Rows alike in key and text hash are one row here.
+    return texts.mapInArrow(lambda b: _sets(b, words), f"own {kind}, hashes binary").groupBy("own").agg(F.first("hashes").alias("hashes"))
 
 
 def _verified(slim: DataFrame, pairs: DataFrame, words: int, least: float) -> DataFrame:
