@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,13 +42,13 @@ def text_slices(
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.array([0 if x is None else len(x) for x in _views(batch.column(column))], dtype=np.int64)
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start, total = 0, 0
         for i, size in enumerate(sizes):
             if i > start and (total + size > most or i - start >= rows):
                 yield batch.slice(start, i - start)
                 start, total = i, 0
-            total += int(size)
+            total += size
         yield batch.slice(start, batch.num_rows - start)
 
 

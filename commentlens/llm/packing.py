@@ -29,8 +29,10 @@ from commentlens.session import written
 WINDOW = 2048
 OPEN_WINDOWS = 32
 LEAST_CUT = 32  # a gap below this many tokens is padded, not filled with a piece of a document
-KNOWN_CHUNKS = 400_000  # chunks whose ids a worker remembers; then it starts afresh
-KNOWN_WORDS = 400_000  # as well, words
+SLICE = 1_000_000  # bytes of text that are encoded at once
+KNOWN_CHUNKS = 100_000  # chunks whose ids a worker remembers; others are looked up for their slice alone
+KNOWN_WORDS = 200_000  # as well, words
+AFRESH = 20  # times that many forgotten ones, and it starts afresh: the texts may have changed
 # How a word tokenizer cuts a text, and what it appends to the last letter.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
@@ -59,7 +61,10 @@ class _Numbers(dict):
 
 
 class _Ids:
-    """Token ids of byte strings, in growing arrays. ``learn`` gives the ids of strings that are new, and their number each."""
+    """Token ids of byte strings, in growing arrays. ``learn`` gives the ids of strings that are new, and their number each.
+
+    Frequent strings come early. So the first ``most`` stay, and what is new beyond them is forgotten after each call.
+    """
 
     def __init__(self, most: int, learn: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]) -> None:
         self.most, self.learn = most, learn
@@ -68,19 +73,26 @@ class _Ids:
     def forget(self) -> None:
         self.known = _Numbers()
         self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.ids, self.used = np.zeros(4096, np.uint32), 0
+        self.ids, self.used, self.lost = np.zeros(4096, np.uint32), 0, 0
 
     def get(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of each key."""
-        if len(self.known) > self.most:
+        if self.lost > AFRESH * self.most:
             self.forget()
-        first = len(self.known)
+        first, used = len(self.known), self.used
         at = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
-        if self.known.new:
-            new, self.known.new = self.known.new, []
+        new, self.known.new = self.known.new, []
+        if new:
             self._add(first, *self.learn(new))
         lengths = self.lengths[at]
-        return self.ids[ranges(self.starts[at], lengths)], lengths
+        found = self.ids[ranges(self.starts[at], lengths)]
+        kept = max(self.most - first, 0)
+        if len(new) > kept:
+            for key in new[kept:]:
+                del self.known[key]
+            self.used = int(self.starts[self.most]) if kept else used
+            self.lost += len(new) - kept
+        return found, lengths
 
     def _add(self, first: int, ids: np.ndarray, lengths: np.ndarray) -> None:
         end, most = first + len(lengths), self.used + len(ids)
@@ -245,7 +257,7 @@ def _first_round(
 
     windows = OpenWindows(window, most, emit)
     doc = 0
-    for batch in text_slices(batches, 1):
+    for batch in text_slices(batches, 1, most=SLICE):
         names = batch.column(0).to_pylist()
         ids, counts = encode(byte_texts(batch, 1))
         at = 0
