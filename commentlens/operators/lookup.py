@@ -9,6 +9,8 @@ from commentlens.functions.tokens import keyword_words
 from commentlens.session import written
 
 FREQUENT = 1000  # a word that more documents hold is frequent
+TASK_MATCHES = 2_000_000  # equal words of two sides that one task puts together, about
+SMALL_SIDE = 500_000  # rows of words that are sent to all tasks
 
 
 def word_intersection(a, b):
@@ -22,18 +24,32 @@ def _word_table(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
     )
 
 
-def _graded(table: DataFrame, name: str, frequent: DataFrame) -> DataFrame:
-    """One row per word, with the number of documents that hold it where the word is frequent."""
-    return written(table.select(name, F.explode("words").alias("word")).join(frequent, "word", "left"), "lookup")
+def _graded(table: DataFrame, name: str, held: DataFrame) -> DataFrame:
+    """One row per word that documents hold, with their number."""
+    return written(table.select(name, F.explode("words").alias("word")).join(held, "word"), "lookup")
 
 
-def _frequent_sets(graded: DataFrame, name: str) -> DataFrame:
+def _frequent_sets(graded: DataFrame, name: str, frequent_from: int) -> DataFrame:
     """Each row's frequent words, the rarest first."""
     ordered = F.sort_array(F.collect_list(F.struct("held", "word")))
-    sets = graded.filter("held IS NOT NULL").groupBy(name).agg(ordered.alias("set"))
+    sets = graded.filter(F.col("held") > frequent_from).groupBy(name).agg(ordered.alias("set"))
     return sets.select(name, F.col("set.word").alias("set"))
 
 
+def _met(asked: DataFrame, library: DataFrame, by: str) -> DataFrame:
+    """``by`` and ``document`` for each equal word, dealt by ``by`` over so many tasks that each gets a bounded number of matches.
+
+    ``held`` of a row of ``asked`` is the number of its matches. What follows is grouped by ``by`` (and more), so it happens within
+    the task: no pairs are shuffled where the library's words are few, and a task's pairs do not become more with the input.
+    """
+    matches = asked.agg(F.sum("held")).first()[0] or 0
+    tasks = max(asked.sparkSession.sparkContext.defaultParallelism, -(-matches // TASK_MATCHES))
+    asked, library = asked.select(by, "word"), library.select("document", "word")
+    if library.count() <= SMALL_SIDE:
+        return asked.repartition(tasks, by).join(F.broadcast(library), "word").drop("word")
+    return asked.join(library, "word").drop("word").repartition(tasks, by)
+
+
 def _best(scores: DataFrame, by: str) -> DataFrame:
     """The document with the highest score of each row, on a tie the smallest."""
     least = F.min(F.struct((-F.col("score")).alias("less"), "document")).alias("best")
@@ -61,11 +77,12 @@ def keyword_overlap_match(
     asked = _word_table(questions, question_key, question_text, "question")
     library = _word_table(documents, document_key, document_text, "document")
     held = library.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("held"))
-    frequent = written(held.filter(F.col("held") > frequent_from), "lookup")
-    asked, library = _graded(asked, "question", frequent), _graded(library, "document", frequent)
-    asked_sets, library_sets = _frequent_sets(asked, "question"), _frequent_sets(library, "document")
+    held = written(held, "lookup")
+    asked, library = _graded(asked, "question", held), _graded(library, "document", held)
+    asked_sets = _frequent_sets(asked, "question", frequent_from)
+    library_sets = written(_frequent_sets(library, "document", frequent_from), "lookup")
 
-    rare = asked.filter("held IS NULL").join(library.filter("held IS NULL").select("document", "word"), "word")
+    rare = _met(*(x.filter(F.col("held") <= frequent_from) for x in (asked, library)), "question")
     rare = rare.groupBy("question", "document").agg(F.count(F.lit(1)).alias("rare"))
     both = rare.join(asked_sets.withColumnRenamed("set", "a"), "question", "left")
     both = both.join(library_sets.withColumnRenamed("set", "b"), "document", "left")
@@ -78,7 +95,9 @@ def keyword_overlap_match(
     needed = F.size("set") - F.greatest("reached", F.lit(1)) + 1
     left = kinds.select("kind", F.explode(F.slice("set", F.lit(1), needed.cast("int"))).alias("word"))
     lowest = library_sets.groupBy("set").agg(F.min("document").alias("document"))
-    met = left.join(lowest.select("document", F.explode("set").alias("word")), "word").select("kind", "document").distinct()
+    words = written(lowest.select("document", F.explode("set").alias("word")), "lookup")
+    left = left.join(words.groupBy("word").agg(F.count(F.lit(1)).alias("held")), "word")
+    met = _met(written(left, "lookup"), words, "kind").distinct()
     met = met.join(kinds.select("kind", F.col("set").alias("a")), "kind").join(lowest.withColumnRenamed("set", "b"), "document")
     again = _best(met.select("kind", "document", word_intersection("a", "b").cast("long").alias("score")), "kind")
     again = open_.join(kinds, ["set", "reached"]).select("question", "kind").join(again, "kind").select("question", "document", "score")
